@@ -50,10 +50,12 @@ def shingles(tokens: Column, k: int) -> Column:
     """Every run of ``k`` consecutive tokens; one run with all tokens if there are fewer.
 
     ``tokens`` must be a plain attribute (not a split expression): it is read
-    inside the lambda, once per shingle.
+    inside the lambda, once per shingle. Single elements are read in constant
+    time where a slice would copy the array, and those past the end are null,
+    which the join leaves out.
     """
     starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - k, F.lit(0)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, k), " "))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(k)]))
 
 
 def base_hash(shingle: Column) -> Column:

@@ -7,8 +7,9 @@ break words), and white space is the Unicode set.
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,12 @@ from pyspark.sql import types as T
 WORD = r"\p{L}\p{N}_"
 ODD_SPACE = r"\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 SPACE = " " + ODD_SPACE
+# The same class for Java: Latin-1 members are one table look-up and the rest is
+# only tried from U+1680 on.
+_JAVA_SPACE = (
+    r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0"
+    r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]]"
+)
 DEVANAGARI = r"\x{0900}-\x{097F}"
 
 # Single code points that count as emoji (Unicode emoji 15.1
@@ -46,6 +53,10 @@ def _as_class(ranges: str) -> str:
 
 
 EMOJI = _as_class(EMOJI_RANGES)
+# Every emoji, keycap, flag and selector has a character of this short class; the
+# long patterns only run on texts, and try only characters, that pass it.
+_NEAR_EMOJI = r"[\xA9\xAE\x{203C}-\x{1FAF8}]"
+_NEAR_SEQUENCE = r"[0-9#*\xA9\xAE\x{203C}-\x{1FAF8}]"
 _SELECTORS = r"[\x{FE0E}\x{FE0F}]"
 _TAGS = r"[\x{E0020}-\x{E007F}]"
 # Keycaps, flags, then any emoji with selectors, tag characters and joined parts.
@@ -55,12 +66,12 @@ EMOJI_SEQUENCE = (
     rf"|{EMOJI}{_SELECTORS}*{_TAGS}*(?:\x{{200D}}{EMOJI}{_SELECTORS}*)*"
     rf"|{_SELECTORS}"
 )
-
 URL = rf"http[^{SPACE}]+|www\.[^{SPACE}]+"
 LOOSE_URL = rf"http[^{SPACE}]+"
 # Runs that are not already a single blank, so ordinary blanks are not rewritten.
-SPACE_RUN = rf"[{ODD_SPACE}][{SPACE}]*| [{SPACE}]+"
-NON_WORD_RUN = rf"[^{WORD} ][^{WORD}]*| [^{WORD}]+"
+# Each starts with one class, which is all that most characters are tested for.
+_SPACE_RUN = rf"{_JAVA_SPACE}(?:(?<! ){_JAVA_SPACE}*|{_JAVA_SPACE}+)"
+_NON_WORD_RUN = rf"[^{WORD}](?:(?<! )[^{WORD}]*|[^{WORD}]+)"
 EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+$"
 
 
@@ -71,7 +82,8 @@ def has_non_ascii(text: Column) -> Column:
 
 @F.arrow_udf(T.StringType())
 def _nfkc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+    texts = values.to_pylist()
+    return pa.array([t if t is None else normalize("NFKC", t) for t in texts], pa.string())
 
 
 def nfkc(text: Column) -> Column:
@@ -83,12 +95,19 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, EDGE_SPACE, "")
 
 
+def _may_have_emoji(text: Column) -> Column:
+    return has_non_ascii(text) & text.rlike(_NEAR_EMOJI)
+
+
+def _found(text: Column, guard: Column, pattern: str, group: int) -> Column:
+    """All matches, without starting the regex engine where the guard rules them out."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    return F.when(guard, matches).otherwise(F.array().cast("array<string>"))
+
+
 def extract_emojis(text: Column) -> Column:
     """Each emoji code point of the text in order, repeats kept."""
-    empty = F.array().cast("array<string>")
-    return F.when(has_non_ascii(text), F.regexp_extract_all(text, F.lit(EMOJI), F.lit(0))).otherwise(
-        empty
-    )
+    return _found(text, _may_have_emoji(text), f"(?={_NEAR_EMOJI}){EMOJI}", 0)
 
 
 def script_of(text: Column) -> Column:
@@ -101,16 +120,16 @@ def script_of(text: Column) -> Column:
 
 
 def cashtags(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(rf"\$([A-Za-z]{{2,10}})(?![{WORD}])"), F.lit(1))
-    return F.transform(found, F.lower)
+    pattern = rf"\$([A-Za-z]{{2,10}})(?![{WORD}])"
+    return F.transform(_found(text, text.contains("$"), pattern, 1), F.lower)
 
 
 def hashtags(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(rf"#([{WORD}]+)"), F.lit(1)), F.lower)
+    return F.transform(_found(text, text.contains("#"), rf"#([{WORD}]+)", 1), F.lower)
 
 
 def mentions(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(rf"@([{WORD}]+)"), F.lit(1)), F.lower)
+    return F.transform(_found(text, text.contains("@"), rf"@([{WORD}]+)", 1), F.lower)
 
 
 def is_reply(text: Column) -> Column:
@@ -123,11 +142,12 @@ def strip_urls(text: Column) -> Column:
 
 
 def strip_emoji(text: Column) -> Column:
-    return F.when(has_non_ascii(text), F.regexp_replace(text, EMOJI_SEQUENCE, "")).otherwise(text)
+    without = F.regexp_replace(text, f"(?={_NEAR_SEQUENCE})(?:{EMOJI_SEQUENCE})", "")
+    return F.when(_may_have_emoji(text), without).otherwise(text)
 
 
 def squeeze_space(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, _SPACE_RUN, " "))
 
 
 def comparable_text(text: Column) -> Column:
@@ -136,7 +156,7 @@ def comparable_text(text: Column) -> Column:
     no_urls = F.when(
         lowered.contains("http"), F.regexp_replace(lowered, LOOSE_URL, " ")
     ).otherwise(lowered)
-    return F.trim(F.regexp_replace(no_urls, NON_WORD_RUN, " "))
+    return F.trim(F.regexp_replace(no_urls, _NON_WORD_RUN, " "))
 
 
 def sorted_tag_set(tags: Column) -> Column:

@@ -11,16 +11,20 @@ from murmuration.functions import text
 MIN_CLEAN_LENGTH = 3
 
 
-def with_clean_text(posts: DataFrame, column: str = "content") -> DataFrame:
+def with_clean_text(posts: DataFrame, min_length: int = 0) -> DataFrame:
     """Add ``content_clean``: NFKC, then no URLs, no emoji, single blanks.
 
     One projection per step: each step is referenced several times by the next
-    one's guard, so Catalyst keeps the steps apart and evaluates each once.
+    one's guard, so Catalyst keeps the steps apart and evaluates each once. The
+    length test sits inside a generator, since a plain filter on the result
+    would be pushed below all steps and repeat them, the Python one included.
     """
-    out = posts.withColumn("content_clean", text.nfkc(F.col(column)))
-    for step in (text.strip_urls, text.strip_emoji, text.squeeze_space):
-        out = out.withColumn("content_clean", step(F.col("content_clean")))
-    return out
+    out = posts.withColumn("_clean", text.nfkc(F.col("content")))
+    out = out.withColumn("_clean", text.strip_urls(F.col("_clean")))
+    out = out.withColumn("_clean", text.strip_emoji(F.col("_clean")))
+    squeezed = F.array(text.squeeze_space(F.col("_clean")))
+    long_enough = F.filter(squeezed, lambda t: F.char_length(t) >= min_length)
+    return out.select("*", F.explode(long_enough).alias("content_clean")).drop("_clean")
 
 
 def clean_posts(posts: DataFrame) -> DataFrame:
@@ -30,8 +34,7 @@ def clean_posts(posts: DataFrame) -> DataFrame:
     normalised when the frame has them.
     """
     content = F.col("content")
-    posts = with_clean_text(posts.where(content.isNotNull()))
-    posts = posts.where(F.char_length("content_clean") >= MIN_CLEAN_LENGTH)
+    posts = with_clean_text(posts.where(content.isNotNull()), MIN_CLEAN_LENGTH)
     derived = {
         "content_raw": content,
         "emojis": text.extract_emojis(content),

@@ -10,10 +10,10 @@ from murmuration.functions import lexicon
 
 def with_sentiment(cleaned: DataFrame) -> DataFrame:
     """Add ``sentiment_score`` and ``sentiment_label`` from ``content_clean`` and ``emojis``."""
-    lowered = F.lower(F.col("content_clean"))
-    emojis = F.col("emojis")
+    lowered, emojis = F.col("_lowered"), F.col("emojis")
     return (
-        cleaned.withColumns(
+        cleaned.withColumn("_lowered", F.lower("content_clean"))
+        .withColumns(
             {
                 "_bull": lexicon.bull_hits(lowered, emojis),
                 "_bear": lexicon.bear_hits(lowered, emojis),
@@ -21,7 +21,7 @@ def with_sentiment(cleaned: DataFrame) -> DataFrame:
         )
         .withColumn("sentiment_score", lexicon.score_from_hits(F.col("_bull"), F.col("_bear")))
         .withColumn("sentiment_label", lexicon.label_of(F.col("sentiment_score")))
-        .drop("_bull", "_bear")
+        .drop("_lowered", "_bull", "_bear")
     )
 
 

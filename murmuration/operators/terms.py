@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuration.config import DEFAULT, TermSettings
@@ -33,16 +33,19 @@ def tokenised(
     return posts.select(post_id, kept.alias("tokens"))
 
 
-def with_terms(tokens: DataFrame, max_ngram: int) -> DataFrame:
-    """Add ``terms``: the tokens, then every run of 2 .. max_ngram neighbouring tokens."""
-    words = F.col("tokens")
-    parts = [words]
-    for n in range(2, max_ngram + 1):
-        starts = F.when(
-            F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return tokens.withColumn("terms", F.concat(*parts))
+def _ngrams(words: Column, n: int) -> Column:
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(
+        F.array().cast("array<int>")
+    )
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
+
+
+def all_terms(words: Column, max_ngram: int) -> Column:
+    """The tokens, then every run of 2 .. max_ngram neighbouring tokens.
+
+    ``words`` must be a plain attribute; it is read inside lambdas.
+    """
+    return F.concat(words, *[_ngrams(words, n) for n in range(2, max_ngram + 1)])
 
 
 def term_counts(
@@ -61,8 +64,9 @@ def term_counts(
     settings = settings or DEFAULT.terms
     tokens = tokenised(posts, text, post_id, stop_words).repartition(post_id)
     return (
-        with_terms(tokens, settings.max_ngram)
-        .select(post_id, F.explode("terms").alias("term"))
+        tokens.select(
+            post_id, F.explode(all_terms(F.col("tokens"), settings.max_ngram)).alias("term")
+        )
         .groupBy(post_id, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -395,7 +395,7 @@ ORACLES: dict[str, str] = {
         SELECT sentiment_label, count(*) AS posts FROM scored GROUP BY sentiment_label""",
     "tokens": f"""
         WITH {_TOKENS}
-        SELECT post_id, array_to_string(tk, ' ') AS tokens, array_to_string(terms, ',') AS terms
+        SELECT post_id, array_to_string(tk, ' ') AS words, array_to_string(terms, ',') AS terms
         FROM term_lists""",
     "vocab": f"WITH {_VOCAB} SELECT term, tf, df FROM vocabulary",
     "tfidf": f"WITH {_TFIDF} SELECT post_id, term, {_round('weight')} FROM weights",
@@ -434,6 +434,32 @@ ORACLES: dict[str, str] = {
         WITH {_REPORT}
         SELECT hashtag, target, raw_collected, target - raw_collected AS missing, pct_of_target
         FROM report WHERE raw_collected < target""",
+    "report_markdown": f"""
+        WITH {_REPORT},
+        fixed(position, hashtag, line) AS (VALUES
+          (0, '', '# Collection quality by tag'), (1, '', ''),
+          (2, '', 'Goal: {DEMO_TAGS.posts_per_hashtag} posts for each of '
+                  || '{', '.join(DEMO_TAGS.hashtags)} within {DEMO_TAGS.lookback_hours} hours.'),
+          (3, '', ''), (20, '', ''),
+          (21, '', '| Tag | Target | Collected | Of target | Kept | Bullish | Bearish | Neutral '
+                   || '| Mean engagement |'),
+          (22, '', '|---|---|---|---|---|---|---|---|---|'),
+          (40, '', ''), (41, '', '## Tags below their target'), (42, '', ''))
+        SELECT * FROM fixed
+        UNION ALL
+        SELECT 10, '', concat('All tags: ', sum(raw_collected)::BIGINT, ' of ', sum(target)::BIGINT,
+                 ' posts (', round(100.0 * sum(raw_collected) / sum(target), 1)::DOUBLE, '%).')
+        FROM report
+        UNION ALL
+        SELECT 30, hashtag, '| ' || concat_ws(' | ', '#' || hashtag, target, raw_collected,
+                 coalesce(pct_of_target || '%', '-'), after_clean_dedup,
+                 coalesce(pct_bullish || '%', '-'), coalesce(pct_bearish || '%', '-'),
+                 coalesce(pct_neutral || '%', '-'), coalesce(avg_engagement::VARCHAR, '-')) || ' |'
+        FROM report
+        UNION ALL
+        SELECT 50, hashtag, concat('- #', hashtag, ': ', target - raw_collected, ' of ', target,
+                 ' posts missing.')
+        FROM report WHERE raw_collected < target""",
     "top_posts": f"""
         WITH {_POSTS}
         SELECT post_id, primary_hashtag, engagement_score, content FROM posts

@@ -232,8 +232,11 @@ def sentiment_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = given.article_posts(spark, sf_dir)
-    found = terms.with_terms(terms.tokenised(posts, text="content"), TermSettings().max_ngram)
-    return found.select("post_id", _joined("tokens"), F.array_join("terms", ",").alias("terms"))
+    found = terms.tokenised(posts, text="content")
+    every = terms.all_terms(F.col("tokens"), TermSettings().max_ngram)
+    return found.select(
+        "post_id", F.array_join("tokens", " ").alias("words"), F.array_join(every, ",").alias("terms")
+    )
 
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,10 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over all tasks; the given file is a single split."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "documents").repartition(partitions, "doc_id")
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per event, with the text of document ``event_id % number of documents``."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    n_documents = documents.agg(F.count(F.lit(1))).scalar()
+    documents = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    n_documents = table(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()
     events = table(spark, sf_dir, "events").withColumn("doc_id", F.col("event_id") % n_documents)
     turn = F.col("event_id") % ENDING_CYCLE
     ending = F.lit("")
@@ -73,7 +79,7 @@ def article_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Real copies and near copies among the documents stay as they are.
     """
-    documents = table(spark, sf_dir, "documents")
+    documents = _documents(spark, sf_dir)
     events = table(spark, sf_dir, "events")
     return documents.join(events, documents.doc_id == events.event_id, "left").select(
         F.col("doc_id").cast("string").alias("post_id"),
