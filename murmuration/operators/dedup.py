@@ -210,9 +210,10 @@ def near_duplicate_dedup(
 ) -> DataFrame:
     """Posts without near duplicates; the most engaging copy stays.
 
-    Needs unique ids and content. Runs jobs while it is called (one per round);
+    Needs unique ids and content. Runs jobs while it is called (some per round);
     every intermediate table lies in the shared scratch folder, so a lost
-    executor costs a task and not the rounds before.
+    executor costs a task and not the rounds before. ``posts`` is read twice
+    and must be the same both times.
     """
     base = settings or DEFAULT.near_dup
     settings = NearDuplicateSettings(
@@ -221,12 +222,15 @@ def near_duplicate_dedup(
         shingle_words=base.shingle_words,
         hot_bucket_rows=base.hot_bucket_rows,
     )
-    scratch = Scratch(posts.sparkSession, "near-dup")
-    banded = scratch.put(banded_texts(posts, settings, ts, post_id), "banded")
+    work = Scratch(posts.sparkSession, "near-dup-work")
+    banded = work.put(banded_texts(posts, settings, ts, post_id), "banded")
     kept = banded.select("id")
-    dropped = _dropped_texts(scratch, bucket_entries(banded), settings)
+    dropped = _dropped_texts(work, bucket_entries(banded), settings)
     if dropped is not None:
         kept = kept.join(dropped, "id", "left_anti")
+    # Only the kept ids outlive the call; the larger work tables go at once.
+    kept = Scratch(posts.sparkSession, "near-dup").put(kept, "kept")
+    work.drop()
     return posts.join(kept, F.col(post_id) == F.col("id"), "left_semi")
 
 

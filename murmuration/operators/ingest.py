@@ -102,7 +102,7 @@ def cap_per_tag(
     tag: str = "primary_hashtag",
     ts: str = "timestamp",
     post_id: str = "post_id",
-    salts: int | None = None,
+    salts: int = 64,
 ) -> DataFrame:
     """The newest posts of each tag, at most its target.
 
@@ -115,7 +115,6 @@ def cap_per_tag(
     """
     settings = settings or DEFAULT.collection
     spark = posts.sparkSession
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     posts = posts.where(F.col(tag).isNotNull() & F.col(ts).isNotNull())
 
     hourly = posts.groupBy(tag, F.date_trunc("hour", ts).alias("_hour")).agg(

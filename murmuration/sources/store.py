@@ -59,6 +59,8 @@ class PostStore:
         The rebalance hint groups rows by partition folder so that files stay
         few, and lets AQE split a folder that holds a large share of the rows.
         """
+        if posts.isEmpty():
+            return 0
         written = Observation("written")
         shaped = posts.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
