@@ -38,6 +38,25 @@ def predicate(filters: list) -> Column:
     return reduce(lambda a, b: a | b, alternatives)
 
 
+def read_existing(spark: SparkSession, path: str, id_column: str = "tweet_id") -> DataFrame:
+    """Raw posts stored by another writer: 32-bit counts, floating view counts, other id name."""
+    stored = T.StructType()
+    for f in RAW_POSTS.fields:
+        name, kind = f.name, f.dataType
+        if name == "post_id":
+            name = id_column
+        elif name == "view_count":
+            kind = T.DoubleType()
+        elif isinstance(kind, T.LongType):
+            kind = T.IntegerType()
+        stored = stored.add(name, kind)
+    posts = spark.read.schema(stored).parquet(path).withColumnRenamed(id_column, "post_id")
+    views = F.when(~F.isnan("view_count"), F.col("view_count"))
+    return posts.withColumn("view_count", views).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_POSTS.fields]
+    )
+
+
 class PostStore:
     """A folder of raw posts, by default partitioned by date and tag."""
 
