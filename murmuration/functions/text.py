@@ -80,22 +80,27 @@ def has_non_ascii(text: Column) -> Column:
     return F.octet_length(text) != F.char_length(text)
 
 
-@F.arrow_udf(T.StringType())
-def _nfkc(values: pa.Array) -> pa.Array:
-    texts = values.to_pylist()
-    return pa.array([t if t is None else normalize("NFKC", t) for t in texts], pa.string())
+def nfkc(text: Column) -> Column:
+    """NFKC form. Spark has no built-in for it, so non-ASCII values alone go to Arrow.
 
+    The function is local so that it is shipped by value: executors do not need
+    this package.
+    """
 
-def nfkc(text: Column) -> Column:
-    """NFKC form. Spark has no built-in for it, so non-ASCII values alone go to Arrow."""
-    return F.coalesce(_nfkc(F.when(has_non_ascii(text), text)), text)
+    @F.arrow_udf(T.StringType())
+    def normalised(values: pa.Array) -> pa.Array:
+        texts = values.to_pylist()
+        return pa.array([t if t is None else normalize("NFKC", t) for t in texts], pa.string())
+
+    return F.coalesce(normalised(F.when(has_non_ascii(text), text)), text)
 
 
 def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, EDGE_SPACE, "")
 
 
-def _may_have_emoji(text: Column) -> Column:
+def may_have_emoji(text: Column) -> Column:
+    """False only for texts without any emoji, keycap, flag or selector, before and after NFKC."""
     return has_non_ascii(text) & text.rlike(_NEAR_EMOJI)
 
 
@@ -105,9 +110,10 @@ def _found(text: Column, guard: Column, pattern: str, group: int) -> Column:
     return F.when(guard, matches).otherwise(F.array().cast("array<string>"))
 
 
-def extract_emojis(text: Column) -> Column:
+def extract_emojis(text: Column, guard: Column | None = None) -> Column:
     """Each emoji code point of the text in order, repeats kept."""
-    return _found(text, _may_have_emoji(text), f"(?={_NEAR_EMOJI}){EMOJI}", 0)
+    guard = may_have_emoji(text) if guard is None else guard
+    return _found(text, guard, f"(?={_NEAR_EMOJI}){EMOJI}", 0)
 
 
 def script_of(text: Column) -> Column:
@@ -141,9 +147,10 @@ def strip_urls(text: Column) -> Column:
     return F.when(maybe, F.regexp_replace(text, URL, "")).otherwise(text)
 
 
-def strip_emoji(text: Column) -> Column:
+def strip_emoji(text: Column, guard: Column | None = None) -> Column:
+    guard = may_have_emoji(text) if guard is None else guard
     without = F.regexp_replace(text, f"(?={_NEAR_SEQUENCE})(?:{EMOJI_SEQUENCE})", "")
-    return F.when(_may_have_emoji(text), without).otherwise(text)
+    return F.when(guard, without).otherwise(text)
 
 
 def squeeze_space(text: Column) -> Column:

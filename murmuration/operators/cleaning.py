@@ -11,33 +11,31 @@ from murmuration.functions import text
 MIN_CLEAN_LENGTH = 3
 
 
-def with_clean_text(posts: DataFrame, min_length: int = 0) -> DataFrame:
-    """Add ``content_clean``: NFKC, then no URLs, no emoji, single blanks.
+def clean_posts(posts: DataFrame) -> DataFrame:
+    """Isolate emoji, script and cashtags of the raw text, clean it, drop what becomes too short.
+
+    ``content_clean`` is the NFKC form without URLs and emoji, with single
+    blanks. Posts without content are left out. ``username`` and ``hashtags``
+    are normalised when the frame has them.
 
     One projection per step: each step is referenced several times by the next
     one's guard, so Catalyst keeps the steps apart and evaluates each once. The
     length test sits inside a generator, since a plain filter on the result
     would be pushed below all steps and repeat them, the Python one included.
     """
-    out = posts.withColumn("_clean", text.nfkc(F.col("content")))
-    out = out.withColumn("_clean", text.strip_urls(F.col("_clean")))
-    out = out.withColumn("_clean", text.strip_emoji(F.col("_clean")))
-    squeezed = F.array(text.squeeze_space(F.col("_clean")))
-    long_enough = F.filter(squeezed, lambda t: F.char_length(t) >= min_length)
-    return out.select("*", F.explode(long_enough).alias("content_clean")).drop("_clean")
-
-
-def clean_posts(posts: DataFrame) -> DataFrame:
-    """Isolate emoji, script and cashtags of the raw text, clean it, drop what becomes too short.
-
-    Posts without content are left out. ``username`` and ``hashtags`` are
-    normalised when the frame has them.
-    """
-    content = F.col("content")
-    posts = with_clean_text(posts.where(content.isNotNull()), MIN_CLEAN_LENGTH)
+    content, clean, guard = F.col("content"), F.col("_clean"), F.col("_guard")
+    posts = posts.where(content.isNotNull()).withColumns(
+        {"_clean": text.nfkc(content), "_guard": text.may_have_emoji(content)}
+    )
+    posts = posts.withColumn("_clean", text.strip_urls(clean))
+    posts = posts.withColumn("_clean", text.strip_emoji(clean, guard))
+    long_enough = F.filter(
+        F.array(text.squeeze_space(clean)), lambda t: F.char_length(t) >= MIN_CLEAN_LENGTH
+    )
+    posts = posts.select("*", F.explode(long_enough).alias("content_clean"))
     derived = {
         "content_raw": content,
-        "emojis": text.extract_emojis(content),
+        "emojis": text.extract_emojis(content, guard),
         "script": text.script_of(content),
         "cashtags_extra": text.cashtags(content),
     }
@@ -45,4 +43,4 @@ def clean_posts(posts: DataFrame) -> DataFrame:
         derived["username"] = F.lower(text.trimmed(F.col("username")))
     if "hashtags" in posts.columns:
         derived["hashtags"] = text.sorted_tag_set(F.col("hashtags"))
-    return posts.withColumns(derived)
+    return posts.withColumns(derived).drop("_clean", "_guard")

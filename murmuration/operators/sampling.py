@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from murmuration.config import DEFAULT, SampleSettings
 
 HASH_BITS = 32
-# Up to 2^16 hash ranges: few enough to accumulate in one task, whatever the input size.
-RANGE_BITS = 16
+# At most 2^20 hash ranges, so one task can accumulate their counts whatever the
+# input size, and one range holds a millionth of the posts.
+RANGE_BITS = 20
 
 # Point size and colours of the sentiment scatter.
 ENGAGEMENT_CEILING = 200

@@ -477,7 +477,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN sampled.sentiment_score > 0.2 THEN '#2e7d32'
                     WHEN sampled.sentiment_score < -0.2 THEN '#c62828' ELSE '#9e9e9e' END AS colour
         FROM sampled""",
-    "pipeline_signal": f"""
+    "full_run_signal": f"""
         WITH RECURSIVE {_POSTS}, {_TWICE}, {_UNIQUE}, {_near('exact_posts')},
         unique_posts AS (SELECT * FROM exact_posts SEMI JOIN near_kept USING (post_id)),
         {_scored('unique_posts')}, {_signal(DAILY)}

@@ -332,7 +332,7 @@ def scatter_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(sampling.scatter_frame(_scored(spark, sf_dir)), "sentiment_score", "size")
 
 
-def pipeline_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_run_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both dedup tiers, cleaning, scoring and the daily composite signal."""
     raw = given.cross_posted(_posts(spark, sf_dir))
     built = signal.build_signal(score_posts(raw), DAILY)
@@ -469,7 +469,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_posts": top_posts,
     "reservoir": reservoir,
     "scatter_frame": scatter_frame,
-    "pipeline_signal": pipeline_signal,
+    "full_run_signal": full_run_signal,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
     "stream_signal": stream_signal,

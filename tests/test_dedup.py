@@ -20,7 +20,7 @@ def ids(df):
 
 
 def test_exact_keeps_one_row_per_id(spark):
-    df = frame(spark, [("1", "strong", 1), ("1", "strong", 1), ("2", "weak", 1)])
+    df = frame(spark, [("1", "first", 1), ("1", "first", 1), ("2", "second", 1)])
     assert ids(dedup.exact_dedup(df)) == ["1", "2"]
 
 
@@ -52,9 +52,9 @@ def test_near_keeps_the_more_engaging_copy(spark):
     df = frame(
         spark,
         [
-            ("1", "Index breaking out above resistance today looking strong", 500),
-            ("2", "Index breaking out above resistance today looking strong!", 2),
-            ("3", "Completely unrelated post about bank support levels", 50),
+            ("1", "steel makers gained after the new export duty was dropped", 500),
+            ("2", "Steel makers gained, after the new export duty was dropped 🚀", 2),
+            ("3", "rain delays the harvest in three southern districts", 50),
         ],
     )
     assert ids(dedup.near_duplicate_dedup(df, threshold=0.8)) == ["1", "3"]
@@ -91,9 +91,9 @@ def test_zero_threshold_means_the_default(spark):
 
 
 def test_two_tiers(spark):
-    copy = "crash incoming be very careful out there today"
+    copy = "margin calls hit brokers before the morning auction opened"
     df = frame(
-        spark, [("1", copy, 100), ("1", copy, 100), ("2", copy + "!!", 5), ("3", "another rally", 20)]
+        spark, [("1", copy, 100), ("1", copy, 100), ("2", copy + "!!", 5), ("3", "tea exports rise", 20)]
     )
     assert ids(dedup.deduplicate(df)) == ["1", "3"]
     assert ids(dedup.deduplicate(df, near_duplicates=False)) == ["1", "2", "3"]

@@ -12,13 +12,13 @@ def score(spark, cleaned, emojis=()):
 @pytest.mark.parametrize(
     "cleaned, emojis, expected, label",
     [
-        ("breakout, bullish rally incoming", ["🚀"], 1.0, "bullish"),
-        ("breakdown, expecting crash", ["📉"], -1.0, "bearish"),
-        ("watching the market today", [], 0.0, "neutral"),
-        ("going short here", [], -1.0, "bearish"),
+        ("surge and uptrend on volume", ["🟢"], 1.0, "bullish"),
+        ("gap down, then more downside", ["💀"], -1.0, "bearish"),
+        ("monsoon update at noon", [], 0.0, "neutral"),
+        ("short from the open", [], -1.0, "bearish"),
         ("buy buy buy sell", [], 0.0, "neutral"),
         ("generally fine weather along the way", [], 1.0, "bullish"),
-        ("breaking out above resistance", [], -1.0, "bearish"),
+        ("closed over its resistance", [], -1.0, "bearish"),
         ("quiet", ["❤", "🔥"], 1.0, "bullish"),
         ("quiet", ["🚀", "🚀", "🔴"], 1 / 3, "bullish"),
         # -0.2 is still bearish, 0.2 still neutral
