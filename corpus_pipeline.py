@@ -1,5 +1,63 @@
-"""Registered training-data queries (the pipeline's stages follow)."""
+"""From raw documents to packed training sequences: five stages over whole tables.
 
-from murmuration.llm.queries import ORACLES, REGISTRY
+A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as
+the next one's documents. All but the last return the columns of documents.
+"""
 
-__all__ = ["ORACLES", "REGISTRY"]
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from murmuration.llm import mixing, packing, queries, simhash, substring_dedup, toxicity
+from murmuration.sources.scratch import Scratch
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects the documents that operator 6 predicts to be toxic."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(model.score(F.col("text")) < toxicity.THRESHOLD)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each SimHash component."""
+    return simhash.one_per_component(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes the words of repeated 35-word windows; changed texts have single blanks between words."""
+    return substring_dedup.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the mix of its source says."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.BPE)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("substring_dedup", drop_repeated_passages),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Toxicity, near-dedup, prefiltered substring dedup and tokenized packing have no SQL form.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the rows of the last."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = scratch.put(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+REGISTRY = queries.REGISTRY | {"pipeline": run}
+ORACLES = queries.ORACLES | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})

@@ -8,10 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_intdigest
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 #: ``bytes.split()`` cuts at exactly these characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Words a worker remembers the hashes of.
+WORDS_KEPT = 1_000_000
 
 
 def once_per_worker(key: tuple, make):
@@ -56,3 +59,35 @@ def split_batches(batch: pa.RecordBatch, texts: list[str], max_chars: int):
 def ragged_starts(counts: np.ndarray) -> np.ndarray:
     """Where each group starts if the groups are laid end to end."""
     return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64) if len(counts) else np.zeros(0, np.int64)
+
+
+class Words:
+    """Two 64-bit hashes of each word met so far, by number."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self):
+        self.number: dict[bytes, int] = {}
+        self.size, self.low, self.high = 0, np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)
+
+    def hashes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self.size > WORDS_KEPT:
+            self.clear()
+        number = self.number
+        new = [w for w in set(words) if w not in number]
+        while self.size + len(new) > len(self.low):
+            self.low, self.high = np.concatenate([self.low, self.low]), np.concatenate([self.high, self.high])
+        for w in new:
+            h = xxh3_128_intdigest(w)
+            self.low[self.size], self.high[self.size] = h & 0xFFFFFFFFFFFFFFFF, h >> 64
+            number[w] = self.size
+            self.size += 1
+        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        return self.low[at], self.high[at]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Each 64-bit number, scattered."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))

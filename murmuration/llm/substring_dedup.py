@@ -35,9 +35,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_intdigest
 
-from murmuration.llm.common import once_per_worker, split_batches, texts_of
+from murmuration.llm.common import Words, mixed, once_per_worker, split_batches, texts_of
 from murmuration.sources.scratch import Scratch
 
 WIDTH = 35
@@ -49,41 +48,9 @@ MAX_BITS = 30
 BLOCK_BITS = 20
 #: Characters of a chunk of documents; a longer document is a chunk of its own.
 CHUNK_CHARS = 4_000_000
-_WORD_CACHE = 1_000_000
 _U = np.uint64
 
 
-class Words:
-    """Two 64-bit hashes of each word met so far, by number."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.number: dict[bytes, int] = {}
-        self.size, self.low, self.high = 0, np.zeros(1 << 16, _U), np.zeros(1 << 16, _U)
-
-    def hashes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if self.size > _WORD_CACHE:
-            self.clear()
-        number = self.number
-        new = [w for w in set(words) if w not in number]
-        while self.size + len(new) > len(self.low):
-            self.low, self.high = np.concatenate([self.low, self.low]), np.concatenate([self.high, self.high])
-        for w in new:
-            h = xxh3_128_intdigest(w)
-            self.low[self.size], self.high[self.size] = h & 0xFFFFFFFFFFFFFFFF, h >> 64
-            number[w] = self.size
-            self.size += 1
-        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        return self.low[at], self.high[at]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(31))) * _U(0x9E3779B97F4A7C15)
-    return x ^ (x >> _U(29))
-
-
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each place on, by doubling; as long as there are n words."""
     size, part, done, out = 1, words, 0, None
@@ -100,7 +67,7 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
 def _join(a: np.ndarray, b: np.ndarray, gap: int) -> np.ndarray:
     """Hash of what a[i] stands for followed by what b[i + gap] stands for."""
     n = max(0, min(len(a), len(b) - gap))
-    return _mixed(a[:n] * _U(0xD6E8FEB86659FD93) + b[gap : gap + n] + _U(gap))
+    return mixed(a[:n] * _U(0xD6E8FEB86659FD93) + b[gap : gap + n] + _U(gap))
 
 
 def least_places(values: np.ndarray, n: int) -> np.ndarray:
@@ -143,7 +110,7 @@ class Chunk:
 
 def _counters(anchors: np.ndarray, bits: int, row: int) -> np.ndarray:
     """The counter of each anchor in a row of the sketch."""
-    return _mixed(anchors + _U(row) * _U(0xA24BAED4963EE407)) >> _U(64 - bits)
+    return mixed(anchors + _U(row) * _U(0xA24BAED4963EE407)) >> _U(64 - bits)
 
 
 def partition_sketches(docs: DataFrame, bits: int, width: int, anchor: int) -> DataFrame:
@@ -227,25 +194,34 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 _HASH = np.dtype([("low", "<u8"), ("high", "<u8")])
-_STORED = "kind string, chunk long, doc_id long, n_words long, kept_sha256 string, text string, starts binary, hashes binary, times binary"
+_STORED = "kind string, chunk long, pos int, doc_id long, n_words long, kept_sha256 string, text string, starts binary, hashes binary, times binary"
 
 
-def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int) -> DataFrame:
+def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int, carry: bool) -> DataFrame:
     """Rows of kind ``doc`` (text, window starts and hashes only if there are candidates) and, per chunk, ``chunk`` (its
-    distinct hashes and how often each occurs, up to 2)."""
+    distinct hashes and how often each occurs, up to 2). ``carry`` keeps all texts and, as ``rest``, the other columns."""
     names = [c.split()[0] for c in _STORED.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    schema = _STORED
+    if carry:
+        rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"])
+        columns.append(rest.alias("rest"))
+        schema += f", rest {docs.select(rest.alias('rest')).schema['rest'].dataType.simpleString()}"
 
     def find(batches):
         part, nth = TaskContext.get().partitionId(), 0
         for batch in batches:
+            raw = batch.column("text").to_pylist()
+            done = 0
             for some, texts in split_batches(batch, texts_of(batch), CHUNK_CHARS):
                 number = (part << 32) + nth
                 nth += 1
                 chunk = Chunk(texts, width, anchor)
                 near = np.flatnonzero(_estimated_repeated(bitmap.value, chunk.anchors[chunk.place], bits))
                 hashes = np.zeros(len(near), _HASH)
-                hashes["low"], hashes["high"] = chunk.window_hashes(near, width)
+                if len(near):
+                    hashes["low"], hashes["high"] = chunk.window_hashes(near, width)
                 starts = chunk.starts[near]
                 cut = np.searchsorted(starts, np.r_[0, chunk.ends])
                 rows = []
@@ -254,17 +230,29 @@ def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int) ->
                     n = int(chunk.counts[i])
                     if a == b:
                         sha = hashlib.sha256(b" ".join(chunk.words[i])).hexdigest()
-                        rows.append(("doc", number, doc_id, n, sha, None, None, None, None))
+                        rows.append(("doc", number, i, doc_id, n, sha, raw[done + i] if carry else None, None, None, None))
                     else:
                         own = (starts[a:b] - (chunk.ends[i] - n)).astype("<u4")
-                        rows.append(("doc", number, doc_id, n, None, texts[i], own.tobytes(), hashes[a:b].tobytes(), None))
+                        rows.append(("doc", number, i, doc_id, n, None, texts[i], own.tobytes(), hashes[a:b].tobytes(), None))
+                done += len(texts)
                 if len(hashes):
-                    distinct, times = np.unique(hashes, return_counts=True)
-                    rows.append(("chunk", number, None, None, None, None, None, distinct.tobytes(), np.minimum(times, 2).astype(np.uint8).tobytes()))
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                    distinct, times = _distinct(hashes)
+                    rows.append(("chunk", number, None, None, None, None, None, None, distinct.tobytes(), np.minimum(times, 2).astype(np.uint8).tobytes()))
+                out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                if carry:
+                    rest = some.column("rest")
+                    out.append(pa.concat_arrays([rest, pa.nulls(1, rest.type)]) if len(hashes) else rest)
+                yield pa.RecordBatch.from_arrays(out, names=[*names, "rest"][: len(out)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(find, _STORED)
+    return docs.select(*columns).mapInArrow(find, schema)
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes and how often each occurs."""
+    ordered = hashes[np.lexsort((hashes["high"], hashes["low"]))]
+    new = np.r_[True, (ordered["low"][1:] != ordered["low"][:-1]) | (ordered["high"][1:] != ordered["high"][:-1])]
+    first = np.flatnonzero(new)
+    return ordered[first], np.diff(np.r_[first, len(ordered)])
 
 
 def _repeated_hashes(stored: DataFrame) -> DataFrame:
@@ -288,39 +276,84 @@ def _repeated_hashes(stored: DataFrame) -> DataFrame:
     return flat.withColumn("total", total).where("total > 1").select("chunk", "low", "high")
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text.
+def _contains(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are among the known ones, all of which differ."""
+    if not len(known):
+        return np.zeros(len(hashes), bool)
+    known = known[np.argsort(known["low"])]
+    at, hit = np.searchsorted(known["low"], hashes["low"]), np.zeros(len(hashes), bool)
+    while True:  # more than once only where low halves of different hashes agree
+        at_ = np.minimum(at, len(known) - 1)
+        level = (at < len(known)) & (known["low"][at_] == hashes["low"]) & ~hit
+        if not level.any():
+            return hit
+        hit |= level & (known["high"][at_] == hashes["high"])
+        at = np.where(level, at + 1, len(known))
 
-    ``kept_text`` has the kept words joined by one space, and is null where nothing was removed.
-    """
+
+def _found(docs: DataFrame, width: int, anchor: int, max_bits: int, carry: bool) -> tuple[DataFrame, DataFrame]:
+    """The stored candidates, and the result for those documents that have any."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "substring")
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about one anchor in seven words; sixteen counters for each
     bits = int(np.clip(np.ceil(np.log2(max(1, chars / 6 / 7 * 16))), 10, max_bits))
     bitmap = spark.sparkContext.broadcast(repeated_bits(docs, bits, width, anchor))
-    stored = scratch.put(_candidates(docs, bitmap, bits, width, anchor), "candidates")
-    result = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    stored = scratch.put(_candidates(docs, bitmap, bits, width, anchor, carry), "candidates")
+    bitmap.unpersist()
+    names = ["chunk", "pos", "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
     def remove(rows: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
         known = np.zeros(len(repeated), _HASH)
         known["low"], known["high"] = repeated["low"].to_numpy(np.int64).view(_U), repeated["high"].to_numpy(np.int64).view(_U)
-        known.sort()
         out = []
         for r in rows.itertuples(index=False):
-            hashes = np.frombuffer(r.hashes, _HASH)
-            at = np.searchsorted(known, hashes) if len(known) else np.zeros(len(hashes), np.int64)
-            hit = (known[np.minimum(at, len(known) - 1)] == hashes) if len(known) else np.zeros(len(hashes), bool)
+            hit = _contains(known, np.frombuffer(r.hashes, _HASH))
             words = r.text.encode("utf-8", "replace").split()
             gone = covered(np.frombuffer(r.starts, "<u4")[hit].astype(np.int64), width, len(words))
             kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
             removed = int(gone.sum())
-            out.append((r.doc_id, len(words), removed, hashlib.sha256(kept).hexdigest(), kept.decode() if removed else None))
-        found = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
-        return found.astype({"doc_id": "Int64"})
+            text = kept.decode() if removed else r.text if carry else None
+            out.append((r.chunk, r.pos, r.doc_id, len(words), removed, hashlib.sha256(kept).hexdigest(), text))
+        return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    suspects = stored.where("kind = 'doc' AND starts IS NOT NULL").select("chunk", "doc_id", "text", "starts", "hashes")
+    suspects = stored.where("kind = 'doc' AND starts IS NOT NULL").select("chunk", "pos", "doc_id", "text", "starts", "hashes")
     hits = _repeated_hashes(stored)
-    changed = suspects.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInPandas(remove, result)
-    clean = stored.where("kind = 'doc' AND starts IS NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
-    return clean.unionByName(changed)
+    result = "chunk long, pos int, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    return stored, suspects.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInPandas(remove, result)
+
+
+_CLEAN = "kind = 'doc' AND starts IS NULL"
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text.
+
+    ``kept_text`` has the kept words joined by one space, and is null where nothing was removed.
+    """
+    stored, found = _found(docs, width, anchor, max_bits, carry=False)
+    nothing = (F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
+    return stored.where(_CLEAN).select("doc_id", "n_words", *nothing).unionByName(found.drop("chunk", "pos"))
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, max_bits: int = MAX_BITS) -> DataFrame:
+    """The documents with all their columns and without the repeated words.
+
+    Where words were removed, ``text`` has the kept words joined by one space, and ``n_chars``, if there
+    is such a column, its length.
+    """
+    stored, found = _found(docs, width, anchor, max_bits, carry=True)
+    clean = stored.where(_CLEAN).select("rest", "text", F.lit(0).cast("long").alias("n_removed"))
+    rest = stored.where("kind = 'doc' AND starts IS NOT NULL").select("chunk", "pos", "rest")
+    changed = found.select("chunk", "pos", F.col("kept_text").alias("text"), "n_removed").join(rest, ["chunk", "pos"])
+    both = clean.unionByName(changed.select("rest", "text", "n_removed"))
+
+    def column(i: int, name: str):
+        if name == "text":
+            return F.col("text")
+        value = F.col(f"rest.c{i}")
+        if name == "n_chars":
+            value = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(value).cast(docs.schema[name].dataType)
+        return value.alias(name)
+
+    return both.select(*[column(i, c) for i, c in enumerate(docs.columns)])
