@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_intdigest
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 #: ``bytes.split()`` cuts at exactly these characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words a worker remembers the hashes of.
-WORDS_KEPT = 1_000_000
+#: The same as a table over bytes.
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BYTE_VALUES = np.random.default_rng(20_240_229).integers(1, 1 << 63, (2, 256), np.uint64)
+_POWERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def once_per_worker(key: tuple, make):
@@ -56,38 +58,30 @@ def split_batches(batch: pa.RecordBatch, texts: list[str], max_chars: int):
         yield batch.slice(start), texts[start:]
 
 
-def ragged_starts(counts: np.ndarray) -> np.ndarray:
-    """Where each group starts if the groups are laid end to end."""
-    return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64) if len(counts) else np.zeros(0, np.int64)
-
-
-class Words:
-    """Two 64-bit hashes of each word met so far, by number."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.number: dict[bytes, int] = {}
-        self.size, self.low, self.high = 0, np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)
-
-    def hashes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if self.size > WORDS_KEPT:
-            self.clear()
-        number = self.number
-        new = [w for w in set(words) if w not in number]
-        while self.size + len(new) > len(self.low):
-            self.low, self.high = np.concatenate([self.low, self.low]), np.concatenate([self.high, self.high])
-        for w in new:
-            h = xxh3_128_intdigest(w)
-            self.low[self.size], self.high[self.size] = h & 0xFFFFFFFFFFFFFFFF, h >> 64
-            number[w] = self.size
-            self.size += 1
-        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        return self.low[at], self.high[at]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Each 64-bit number, scattered."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
+
+
+def word_hashes(encoded: list[bytes], lanes: int = 2) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per text, and a 64-bit hash per lane of every word of all texts.
+
+    A hash is the sum over a word's bytes of a random value of the byte times a power of an odd
+    number, scattered: array operations over the bytes, without a Python object per word.
+    """
+    flat = np.frombuffer(b" ".join([*encoded, b""]), np.uint8)
+    solid = np.flatnonzero(~_BLANK[flat])
+    if not len(solid):
+        return np.zeros(len(encoded), np.int64), [np.zeros(0, np.uint64)] * lanes
+    first = np.flatnonzero(np.r_[True, np.diff(solid) > 1])
+    sizes = np.diff(np.r_[first, len(solid)])
+    place = np.arange(len(solid)) - np.repeat(first, sizes)
+    longest = int(sizes.max())
+    out = []
+    for lane in range(lanes):
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(longest - 1, _POWERS[lane])], dtype=np.uint64)
+        out.append(mixed(np.add.reduceat(_BYTE_VALUES[lane][flat[solid]] * powers[place], first)))
+    borders = np.cumsum([len(e) + 1 for e in encoded])
+    upto = np.searchsorted(solid[first], borders)
+    return np.diff(np.r_[0, upto]).astype(np.int64), out

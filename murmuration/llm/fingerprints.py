@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import Words, mixed, once_per_worker, texts_of
+from murmuration.llm.common import mixed, once_per_worker, texts_of, word_hashes
 from murmuration.sources.scratch import Scratch
 
 SAMPLES = 128
@@ -57,7 +57,6 @@ class Sampler:
         self.samples = samples
         self.row: dict[int, int] = {}
         self.kept = np.empty((_KEPT_TERMS, samples), np.float32)
-        self.words = Words()
 
     def _table(self, keys: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         row = self.row
@@ -78,10 +77,8 @@ class Sampler:
 
     def fingerprints(self, texts: list[str]) -> np.ndarray:
         """One row of bytes per text."""
-        split = [t.encode("utf-8", "replace").lower().split() for t in texts]
-        counts = np.array([len(w) for w in split], np.int64)
+        counts, (hashes,) = word_hashes([t.encode("utf-8", "replace").lower() for t in texts], lanes=1)
         prints = np.zeros((len(texts), self.samples), np.uint8)
-        hashes = self.words.hashes([w for ws in split for w in ws])[0]
         if not len(hashes):
             return prints
         terms, number = np.unique(hashes, return_inverse=True)

@@ -11,10 +11,10 @@ covers is removed, in each of its places.
    what is left is one bit per counter: touched twice or more. A count-min
    estimate is the least of an anchor's counters, so it is never too low.
 2. Exact groups. A window whose anchor is estimated to be single is single. The others are
-   grouped by a 128-bit hash of their word sequence. A task reports each hash once per chunk of
+   grouped by 128 bits of hashes of their word sequence (64 of the anchor, 64 of the window). A task reports each hash once per chunk of
    documents, however often it occurs there, so that copies do not meet in one task row by row.
-3. The hashes that occur twice or more return to the chunks that hold them, where the covered
-   words are removed. Only documents with such candidates are stored with their text.
+3. Candidates that turn out to be single return to the chunks that hold them; the words that the
+   others cover are removed. Only documents with candidates are stored with their text.
 
 The bitmap is the only thing broadcast: ``rows`` bits per counter, at most 2^max_bits counters, whatever
 the input. With more anchors than counters the estimates become loose and more windows are
@@ -33,10 +33,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import Words, mixed, once_per_worker, split_batches, texts_of
+from murmuration.llm.common import mixed, split_batches, texts_of, word_hashes
 from murmuration.sources.scratch import Scratch
 
 WIDTH = 35
@@ -47,7 +47,7 @@ MAX_BITS = 30
 #: Counters that are merged together.
 BLOCK_BITS = 20
 #: Characters of a chunk of documents; a longer document is a chunk of its own.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 _U = np.uint64
 
 
@@ -89,24 +89,17 @@ class Chunk:
     """The words and windows of a few documents laid end to end."""
 
     def __init__(self, texts: list[str], width: int, anchor: int):
-        self.words = [t.encode("utf-8", "replace").split() for t in texts]
-        self.counts = np.array([len(w) for w in self.words], np.int64)
+        self.encoded = [t.encode("utf-8", "replace") for t in texts]
+        self.counts, (self.low, self.high) = word_hashes(self.encoded)
         self.ends = np.cumsum(self.counts)
-        flat = [w for ws in self.words for w in ws]
-        self.low, self.high = once_per_worker(("words",), Words).hashes(flat)
-        n = len(flat)
         runs = run_hashes(self.low, anchor)
         place = least_places(runs, width - anchor + 1)
         # a window may not reach over the end of its document
-        left = np.repeat(self.ends, self.counts) - np.arange(n)
+        left = np.repeat(self.ends, self.counts) - np.arange(len(self.low))
         self.starts = np.flatnonzero(left[: len(place)] >= width)
         self.place = place[self.starts]
         self.anchors = runs
 
-    def window_hashes(self, chosen: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        at = self.starts[chosen]
-        return run_hashes(self.low, width)[at], run_hashes(self.high, width)[at]
-
 
 def _counters(anchors: np.ndarray, bits: int, row: int) -> np.ndarray:
     """The counter of each anchor in a row of the sketch."""
@@ -193,15 +186,38 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(steps)[:n] > 0
 
 
-_HASH = np.dtype([("low", "<u8"), ("high", "<u8")])
-_STORED = "kind string, chunk long, pos int, doc_id long, n_words long, kept_sha256 string, text string, starts binary, hashes binary, times binary"
+_STORED = "kind string, chunk long, pos int, doc_id long, n_words long, kept_sha256 string, text string, runs binary, anchors binary, sizes binary, windows binary"
+_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.binary()] * 4]
+#: Keys of a chunk's rows in step 2 that go into one row of the stored table.
+_KEYS_A_ROW = 20_000
+
+
+def runs_of(numbers: np.ndarray) -> np.ndarray:
+    """Rising numbers as (first, how many) of each run without gaps."""
+    first = np.flatnonzero(np.r_[True, np.diff(numbers) > 1]) if len(numbers) else np.zeros(0, np.int64)
+    return np.stack([numbers[first], np.diff(np.r_[first, len(numbers)])], axis=1).astype("<u4")
+
+
+def numbers_of(runs: np.ndarray) -> np.ndarray:
+    first, size = runs[:, 0].astype(np.int64), runs[:, 1].astype(np.int64)
+    return np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+
+
+def _distinct(anchors: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchors, windows of each, windows): one entry per distinct pair, two if it occurs more often."""
+    order = np.lexsort((windows, anchors))
+    anchors, windows = anchors[order], windows[order]
+    same = np.r_[False, (anchors[1:] == anchors[:-1]) & (windows[1:] == windows[:-1])]
+    third = same & np.r_[False, same[:-1]]
+    anchors, windows = anchors[~third], windows[~third]
+    first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    return anchors[first], np.diff(np.r_[first, len(anchors)]), windows
 
 
 def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int, carry: bool) -> DataFrame:
-    """Rows of kind ``doc`` (text, window starts and hashes only if there are candidates) and, per chunk, ``chunk`` (its
-    distinct hashes and how often each occurs, up to 2). ``carry`` keeps all texts and, as ``rest``, the other columns."""
+    """Rows of kind ``doc`` (with text and candidate windows only if there are any) and, per chunk,
+    ``keys``: its distinct candidate windows, by anchor. ``carry`` keeps all texts and, as ``rest``, the other columns."""
     names = [c.split()[0] for c in _STORED.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     schema = _STORED
     if carry:
@@ -219,9 +235,6 @@ def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int, car
                 nth += 1
                 chunk = Chunk(texts, width, anchor)
                 near = np.flatnonzero(_estimated_repeated(bitmap.value, chunk.anchors[chunk.place], bits))
-                hashes = np.zeros(len(near), _HASH)
-                if len(near):
-                    hashes["low"], hashes["high"] = chunk.window_hashes(near, width)
                 starts = chunk.starts[near]
                 cut = np.searchsorted(starts, np.r_[0, chunk.ends])
                 rows = []
@@ -229,66 +242,53 @@ def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int, car
                     a, b = cut[i], cut[i + 1]
                     n = int(chunk.counts[i])
                     if a == b:
-                        sha = hashlib.sha256(b" ".join(chunk.words[i])).hexdigest()
-                        rows.append(("doc", number, i, doc_id, n, sha, raw[done + i] if carry else None, None, None, None))
+                        sha = hashlib.sha256(b" ".join(chunk.encoded[i].split())).hexdigest()
+                        rows.append(("doc", number, i, doc_id, n, sha, raw[done + i] if carry else None, *[None] * 4))
                     else:
-                        own = (starts[a:b] - (chunk.ends[i] - n)).astype("<u4")
-                        rows.append(("doc", number, i, doc_id, n, None, texts[i], own.tobytes(), hashes[a:b].tobytes(), None))
+                        own = runs_of(starts[a:b] - (chunk.ends[i] - n))
+                        rows.append(("doc", number, i, doc_id, n, None, texts[i], own.tobytes(), *[None] * 3))
                 done += len(texts)
-                if len(hashes):
-                    distinct, times = _distinct(hashes)
-                    rows.append(("chunk", number, None, None, None, None, None, None, distinct.tobytes(), np.minimum(times, 2).astype(np.uint8).tobytes()))
-                out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                n_docs = len(rows)
+                if len(near):
+                    keys, sizes, windows = _distinct(chunk.anchors[chunk.place[near]], window_hashes(chunk.low, chunk.high, width)[starts])
+                    ends = np.cumsum(sizes)
+                    for a in range(0, len(keys), _KEYS_A_ROW):
+                        b = min(a + _KEYS_A_ROW, len(keys))
+                        parts = keys[a:b].tobytes(), sizes[a:b].astype("<u4").tobytes(), windows[ends[a] - sizes[a] : ends[b - 1]].tobytes()
+                        rows.append(("keys", number, *[None] * 6, *parts))
+                out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)]
                 if carry:
                     rest = some.column("rest")
-                    out.append(pa.concat_arrays([rest, pa.nulls(1, rest.type)]) if len(hashes) else rest)
+                    out.append(pa.concat_arrays([rest, pa.nulls(len(rows) - n_docs, rest.type)]))
                 yield pa.RecordBatch.from_arrays(out, names=[*names, "rest"][: len(out)])
 
     return docs.select(*columns).mapInArrow(find, schema)
 
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct hashes and how often each occurs."""
-    ordered = hashes[np.lexsort((hashes["high"], hashes["low"]))]
-    new = np.r_[True, (ordered["low"][1:] != ordered["low"][:-1]) | (ordered["high"][1:] != ordered["high"][:-1])]
-    first = np.flatnonzero(new)
-    return ordered[first], np.diff(np.r_[first, len(ordered)])
+def window_hashes(low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hash of the words of each window, from the other lane than the anchors."""
+    return run_hashes(high ^ (low << _U(1)), width)
 
 
-def _repeated_hashes(stored: DataFrame) -> DataFrame:
-    """(chunk, low, high): the hashes of each chunk that occur twice or more in all."""
+def _single(stored: DataFrame) -> DataFrame:
+    """(chunk, window): candidate windows that occur only once in all.
+
+    A window's key is its anchor's hash and its own, 64 bits each; keys travel grouped by anchor.
+    """
 
     def unpack(batches):
         for batch in batches:
-            for chunk, hashes, times in zip(*(batch.column(c).to_pylist() for c in ("chunk", "hashes", "times")), strict=True):
-                found = np.frombuffer(hashes, _HASH)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "chunk": pa.array(np.full(len(found), chunk, np.int64)),
-                        "low": pa.array(found["low"].copy().view(np.int64)),
-                        "high": pa.array(found["high"].copy().view(np.int64)),
-                        "times": pa.array(np.frombuffer(times, np.uint8).astype(np.int32)),
-                    }
-                )
-
-    flat = stored.where("kind = 'chunk'").select("chunk", "hashes", "times").mapInArrow(unpack, "chunk long, low long, high long, times int")
-    total = F.sum("times").over(Window.partitionBy("low", "high"))
-    return flat.withColumn("total", total).where("total > 1").select("chunk", "low", "high")
-
-
-def _contains(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes are among the known ones, all of which differ."""
-    if not len(known):
-        return np.zeros(len(hashes), bool)
-    known = known[np.argsort(known["low"])]
-    at, hit = np.searchsorted(known["low"], hashes["low"]), np.zeros(len(hashes), bool)
-    while True:  # more than once only where low halves of different hashes agree
-        at_ = np.minimum(at, len(known) - 1)
-        level = (at < len(known)) & (known["low"][at_] == hashes["low"]) & ~hit
-        if not level.any():
-            return hit
-        hit |= level & (known["high"][at_] == hashes["high"])
-        at = np.where(level, at + 1, len(known))
+            for chunk, anchors, sizes, windows in zip(*(batch.column(c).to_pylist() for c in ("chunk", "anchors", "sizes", "windows")), strict=True):
+                anchors = np.frombuffer(anchors, np.int64)
+                offsets = np.r_[0, np.cumsum(np.frombuffer(sizes, "<u4"))].astype(np.int32)
+                columns = [pa.array(np.full(len(anchors), chunk, np.int64)), pa.array(anchors), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(windows, np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "anchor", "windows"])
+
+    flat = stored.where("kind = 'keys'").select("chunk", "anchors", "sizes", "windows").mapInArrow(unpack, "chunk long, anchor long, windows array<long>")
+    # spread by anchor before the lists are opened; counted per chunk, so copies inside a chunk are one row
+    spread = flat.repartition("anchor").select("chunk", "anchor", F.explode("windows").alias("window"))
+    counted = spread.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"), F.first("chunk").alias("chunk"))
+    return counted.where("n = 1").select("chunk", "window")
 
 
 def _found(docs: DataFrame, width: int, anchor: int, max_bits: int, carry: bool) -> tuple[DataFrame, DataFrame]:
@@ -296,34 +296,39 @@ def _found(docs: DataFrame, width: int, anchor: int, max_bits: int, carry: bool)
     spark = docs.sparkSession
     scratch = Scratch(spark, "substring")
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # about one anchor in seven words; sixteen counters for each
-    bits = int(np.clip(np.ceil(np.log2(max(1, chars / 6 / 7 * 16))), 10, max_bits))
+    # about one anchor in seven words; four counters or more for each
+    bits = int(np.clip(np.ceil(np.log2(max(1, chars / 6 / 7 * 4))), 10, max_bits))
     bitmap = spark.sparkContext.broadcast(repeated_bits(docs, bits, width, anchor))
     stored = scratch.put(_candidates(docs, bitmap, bits, width, anchor, carry), "candidates")
     bitmap.unpersist()
     names = ["chunk", "pos", "doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
-    def remove(rows: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
-        known = np.zeros(len(repeated), _HASH)
-        known["low"], known["high"] = repeated["low"].to_numpy(np.int64).view(_U), repeated["high"].to_numpy(np.int64).view(_U)
+    def remove(rows: pd.DataFrame, single: pd.DataFrame) -> pd.DataFrame:
+        alone = np.sort(single["window"].to_numpy(np.int64).view(_U))
+        encoded = [t.encode("utf-8", "replace") for t in rows["text"]]
+        counts, (low, high) = word_hashes(encoded)
+        hashes = window_hashes(low, high, width)
+        first = np.cumsum(counts) - counts
         out = []
-        for r in rows.itertuples(index=False):
-            hit = _contains(known, np.frombuffer(r.hashes, _HASH))
-            words = r.text.encode("utf-8", "replace").split()
-            gone = covered(np.frombuffer(r.starts, "<u4")[hit].astype(np.int64), width, len(words))
+        for i, r in enumerate(rows.itertuples(index=False)):
+            starts = numbers_of(np.frombuffer(r.runs, "<u4").reshape(-1, 2))
+            own = hashes[starts + first[i]]
+            at = np.minimum(np.searchsorted(alone, own), max(0, len(alone) - 1))
+            hit = alone[at] != own if len(alone) else np.ones(len(own), bool)
+            gone = covered(starts[hit], width, int(counts[i]))
+            words = encoded[i].split()
             kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
             removed = int(gone.sum())
             text = kept.decode() if removed else r.text if carry else None
             out.append((r.chunk, r.pos, r.doc_id, len(words), removed, hashlib.sha256(kept).hexdigest(), text))
         return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    suspects = stored.where("kind = 'doc' AND starts IS NOT NULL").select("chunk", "pos", "doc_id", "text", "starts", "hashes")
-    hits = _repeated_hashes(stored)
+    suspects = stored.where("kind = 'doc' AND runs IS NOT NULL").select("chunk", "pos", "doc_id", "text", "runs")
     result = "chunk long, pos int, doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return stored, suspects.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInPandas(remove, result)
+    return stored, suspects.groupBy("chunk").cogroup(_single(stored).groupBy("chunk")).applyInPandas(remove, result)
 
 
-_CLEAN = "kind = 'doc' AND starts IS NULL"
+_CLEAN = "kind = 'doc' AND runs IS NULL"
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, max_bits: int = MAX_BITS) -> DataFrame:
@@ -344,7 +349,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, m
     """
     stored, found = _found(docs, width, anchor, max_bits, carry=True)
     clean = stored.where(_CLEAN).select("rest", "text", F.lit(0).cast("long").alias("n_removed"))
-    rest = stored.where("kind = 'doc' AND starts IS NOT NULL").select("chunk", "pos", "rest")
+    rest = stored.where("kind = 'doc' AND runs IS NOT NULL").select("chunk", "pos", "rest")
     changed = found.select("chunk", "pos", F.col("kept_text").alias("text"), "n_removed").join(rest, ["chunk", "pos"])
     both = clean.unionByName(changed.select("rest", "text", "n_removed"))
 
