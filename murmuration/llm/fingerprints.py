@@ -121,9 +121,10 @@ def _compare(ids: list, texts: list[str], following: list[str], samples: int) ->
     """Columns of the result; where ``following`` are the texts that come next."""
     sampler = once_per_worker(("sampler", samples), lambda: Sampler(samples))
     edited = [edited_text(t, f) for t, f in zip(texts, following, strict=True)]
-    own = sampler.fingerprints([*texts, following[-1]]) if following == [*texts[1:], following[-1]] else None
-    prints, after = (own[:-1], own[1:]) if own is not None else (sampler.fingerprints(texts), sampler.fingerprints(following))
-    changed = sampler.fingerprints(edited)
+    # most texts also come next, and copies are many: each different one is sampled once
+    number = {t: i for i, t in enumerate(dict.fromkeys([*texts, *following, *edited]))}
+    found = sampler.fingerprints(list(number))
+    prints, after, changed = (found[[number[t] for t in some]] for some in (texts, following, edited))
     return [
         pa.array(ids, pa.int64()),
         pa.array([len(t) for t in texts], pa.int64()),
