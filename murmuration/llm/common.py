@@ -20,10 +20,12 @@ _POWERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def once_per_worker(key: tuple, make):
-    """``make()``, kept for the life of a Python worker: functions shipped by value have no
-    module of their own that would keep it from one task to the next."""
+    """``make()``, kept by a Python worker until another key is asked for: functions shipped by value
+    have no module of their own that would keep it from one task to the next. Workers outlive
+    queries, so only one such object is held at a time."""
     kept = sys.__dict__.setdefault("_murmuration_kept", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]
 

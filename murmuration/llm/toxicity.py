@@ -39,7 +39,7 @@ LEAST_LIFT = 4.0
 RIDGE = 1e-5
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_CACHE = 1_000_000
+_CACHE = 200_000
 
 
 def word_features(token: str) -> list[int]:
