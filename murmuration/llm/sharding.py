@@ -63,17 +63,17 @@ def _sampled(keys: DataFrame, total: int, wanted: int, seed: int) -> list[tuple[
 _LOWEST = -(1 << 63)
 
 
-def quantile_splitters(sample: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+def quantile_splitters(sample: list[tuple[int, int]], n: int, most: int = 1) -> list[tuple[int, int]]:
     """About ``n - 1`` quantiles of a sorted sample.
 
-    A splitter moves to the start of its group of equal texts, unless the group holds
-    several of them: only groups larger than a range are cut.
+    A splitter moves to the start of its group of equal texts, unless the group holds more
+    than ``most`` of them: only large groups are cut.
     """
     chosen = [sample[i * len(sample) // n] for i in range(1, n)] if sample else []
     times: dict[int, int] = {}
     for h, _ in chosen:
         times[h] = times.get(h, 0) + 1
-    return sorted({(h, k) if times[h] > 1 else (h, _LOWEST) for h, k in chosen})
+    return sorted({(h, k) if times[h] > most else (h, _LOWEST) for h, k in chosen})
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample: int = SAMPLE, seed: int = 29, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -84,7 +84,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, sample: i
     # narrow rows, read four times from here instead of hashing the texts again
     keyed = scratch.put(keyed, "keys")
     total = keyed.agg(F.sum("size")).first()[0] or 0
-    splitters = quantile_splitters(_sampled(keyed, total, sample, seed), ranges // 2)
+    # a group stays whole up to about a sixty-fourth of a shard
+    most = max(1, ranges // 2 // (64 * shards))
+    splitters = quantile_splitters(_sampled(keyed, total, sample, seed), ranges // 2, most)
     key = F.struct("h", "k")
 
     def counted(splitters: list[tuple[int, int]]) -> dict[int, tuple[int, int]]:

@@ -107,11 +107,12 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weight: n
     w = np.zeros(len(chosen))
     m, v, step = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
     usable = [i for i, (_, _, n) in enumerate(reduced) if n] if len(chosen) else []
+    batch = int(np.clip(len(usable) // 8, 16, 256))
     for epoch in range(epochs if usable else 0):
         rate = 0.05 * (1 - epoch / epochs) + 0.002
         order = rng.permutation(usable)
-        for first in range(0, len(order), 256):
-            some = order[first : first + 256]
+        for first in range(0, len(order), batch):
+            some = order[first : first + batch]
             counts = np.array([reduced[i][2] for i in some])
             starts = np.r_[0, np.cumsum(counts)[:-1]]
             features = np.concatenate([reduced[i][0] for i in some])
