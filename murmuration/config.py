@@ -37,9 +37,6 @@ class NearDuplicateSettings:
     threshold: float = 0.92
     num_perm: int = 64
     shingle_words: int = 3
-    # A bucket larger than this (and than 1/10,000 of all bucket entries) is
-    # served by a broadcast of its leader instead of a shuffle on its key.
-    hot_bucket_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,10 @@
 """MinHash signatures and LSH bands from built-in expressions.
 
-The base hash is the first 32 bits of md5, a function that other SQL engines
-share; the permutations are affine maps modulo a Mersenne prime, so every
-product stays inside a signed 64-bit integer.
+The base hash has two lanes, the first and the second 32 bits of md5, a function
+that other SQL engines share. Permutations take turns between the lanes, so texts
+of a single shingle only agree by chance if both lanes do. The permutations are
+affine maps modulo a Mersenne prime, so every product stays inside a signed
+64-bit integer.
 """
 
 from __future__ import annotations
@@ -58,8 +60,12 @@ def shingles(tokens: Column, k: int) -> Column:
     return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(k)]))
 
 
-def base_hash(shingle: Column) -> Column:
-    return F.conv(F.substring(F.md5(shingle.cast("binary")), 1, 8), 16, 10).cast("bigint") % PRIME
+LANES = 2
+
+
+def base_hash(digest: Column, lane: int) -> Column:
+    """Lane of the md5 digest of a shingle, modulo the prime."""
+    return F.conv(F.substring(digest, 1 + 8 * lane, 8), 16, 10).cast("bigint") % PRIME
 
 
 def permuted(h: Column, i: int) -> Column:

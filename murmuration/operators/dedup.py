@@ -6,11 +6,13 @@ kept posts are the lexicographically first maximal independent set of the
 collision graph, which rounds of grouped minima compute exactly: a post that
 leads all its buckets is kept, whatever shares a bucket with it is dropped, and
 the rest goes to the next round. No pairs are formed, so a bucket with a third
-of all posts costs one partial minimum per task and a broadcast of its leader.
+of all posts costs one partial minimum per task and one narrow leader row per salt.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +20,10 @@ from murmuration.config import DEFAULT, NearDuplicateSettings
 from murmuration.functions import minhash, text
 from murmuration.sources.scratch import Scratch
 
-# A bucket is only hot if it also holds more than 1/10,000 of all bucket
-# entries, so fewer than 10,000 leaders are ever broadcast.
-MAX_HOT_BUCKETS = 10_000
+log = logging.getLogger(__name__)
+
+# Entries of a bucket meet its leader in this many parts, whatever the bucket's size.
+SALTS = 8
 
 
 def exact_dedup(
@@ -64,16 +67,20 @@ def shingle_sets(posts: DataFrame, keep: list[str], k: int | None = None) -> Dat
 
 def signatures(posts: DataFrame, keep: list[str], perms: int, k: int | None = None) -> DataFrame:
     """The MinHash minima ``m0 .. m<perms-1>`` of ``comparable``, one row per distinct ``keep``."""
-    hashed = shingle_rows(posts, keep, k).withColumn("_h", minhash.base_hash(F.col("shingle")))
-    minima = [F.min(minhash.permuted(F.col("_h"), i)).alias(f"m{i}") for i in range(perms)]
+    digests = shingle_rows(posts, keep, k).withColumn("_md5", F.md5(F.col("shingle").cast("binary")))
+    hashed = digests.withColumns({f"_h{i}": minhash.base_hash(F.col("_md5"), i) for i in range(minhash.LANES)})
+    minima = [
+        F.min(minhash.permuted(F.col(f"_h{i % minhash.LANES}"), i)).alias(f"m{i}") for i in range(perms)
+    ]
     return hashed.groupBy(*keep).agg(*minima)
 
 
 def _rank(ts: str | None, post_id: str) -> Column:
-    """Ordering of posts: engagement descending, then oldest, then id."""
+    """Ordering of posts: engagement descending (none comes last), then oldest, then id."""
     when = F.col(ts) if ts else F.lit(None).cast("timestamp")
     return F.struct(
-        F.negative(F.coalesce(F.col("engagement_score").cast("bigint"), F.lit(0))).alias("down"),
+        F.col("engagement_score").isNull().alias("unknown"),
+        F.negative(F.col("engagement_score").cast("bigint")).alias("down"),
         when.alias("ts"),
         F.col(post_id).alias("id"),
     )
@@ -96,7 +103,7 @@ def banded_texts(
     bands, rows = minhash.band_layout(settings.threshold, settings.num_perm)
     ts = ts if ts in posts.columns else None
     best = (
-        with_comparable_text(posts.where(F.col("content").isNotNull()))
+        with_comparable_text(posts.where(F.col("content").isNotNull() & F.col(post_id).isNotNull()))
         .select(F.md5(F.col("comparable").cast("binary")).alias("text_key"), "comparable",
                 _rank(ts, post_id).alias("rank"))
         .groupBy("text_key")
@@ -124,21 +131,15 @@ def bucket_leaders(entries: DataFrame) -> DataFrame:
     )
 
 
-def _attach(entries: DataFrame, per_bucket: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Inner join of entries with one row per bucket that no hot bucket can unbalance."""
-    if hot is None:
-        return entries.join(per_bucket, "bucket")
-    hot_keys = F.broadcast(hot.select("bucket"))
-    hot_rows = F.broadcast(per_bucket.join(hot_keys, "bucket", "left_semi"))
-    return entries.join(hot_rows, "bucket").unionByName(
-        entries.join(hot_keys, "bucket", "left_anti").join(per_bucket, "bucket")
-    )
-
+def _attach(entries: DataFrame, per_bucket: DataFrame) -> DataFrame:
+    """Inner join of entries with the rows of their bucket, in salted parts.
 
-def _hot_buckets(leaders: DataFrame, entries: DataFrame, at_least: int) -> DataFrame | None:
-    share = entries.count() // MAX_HOT_BUCKETS
-    hot = leaders.where(F.col("members") > max(at_least, share)).select("bucket")
-    return None if hot.isEmpty() else hot
+    The narrow rows of ``per_bucket`` are repeated once per salt, so no bucket's
+    entries meet in a single task.
+    """
+    salted = entries.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    repeated = per_bucket.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, ["bucket", "_salt"]).drop("_salt")
 
 
 def lsh_candidates(
@@ -156,45 +157,41 @@ def lsh_candidates(
     scratch = Scratch(posts.sparkSession, "lsh")
     entries = bucket_entries(scratch.put(banded_texts(posts, settings, ts, post_id), "banded"))
     shared = scratch.put(bucket_leaders(entries).where("members > 1"), "shared")
-    hot = _hot_buckets(shared, entries, settings.hot_bucket_rows)
     return (
-        _attach(entries, shared, hot)
+        _attach(entries, shared)
         .where(F.col("id") != F.col("leader.id"))
         .select("bucket", F.col("id").alias("member"), F.col("leader.id").alias("leader"), "members")
     )
 
 
-def _dropped_texts(
-    scratch: Scratch, entries: DataFrame, settings: NearDuplicateSettings
-) -> DataFrame | None:
+def _dropped_texts(scratch: Scratch, entries: DataFrame) -> DataFrame | None:
     """Ids of texts that collide with a kept one; None when nothing collides."""
     spark = scratch.spark
     shared = scratch.put(bucket_leaders(entries).where("members > 1"), "shared")
     if shared.isEmpty():
         return None
-    hot = _hot_buckets(shared, entries, settings.hot_bucket_rows)
     # Entries alone in their bucket constrain nobody: only shared buckets go into the rounds.
-    live = scratch.put(_attach(entries, shared, hot).select("bucket", "id", "rank"), "live-0")
+    live = scratch.put(_attach(entries, shared).select("bucket", "id", "rank"), "live-0")
     decided = []
     round_no = 0
     while not live.isEmpty():
         leaders = bucket_leaders(live)
         if round_no:
             leaders = scratch.put(leaders, f"leaders-{round_no}")
-            hot = _hot_buckets(leaders, live, settings.hot_bucket_rows)
         else:
             leaders = shared
-        leads = _attach(live, leaders, hot).select(
+        leads = _attach(live, leaders).select(
             "bucket", "id", (F.col("rank") == F.col("leader")).alias("leads")
         )
         kept = leads.groupBy("id").agg(F.min("leads").alias("kept")).where("kept").select("id")
         kept = scratch.put(kept, f"kept-{round_no}")
         closed = live.join(kept, "id", "left_semi").select("bucket", F.col("id").alias("by"))
         lost = (
-            _attach(live, closed, hot).where(F.col("id") != F.col("by")).select("id").distinct()
+            _attach(live, closed).where(F.col("id") != F.col("by")).select("id").distinct()
         )
         lost = scratch.put(lost, f"lost-{round_no}")
         decided.append(scratch.at(f"lost-{round_no}"))
+        log.info("near-dup round %d decided %d kept and %d dropped texts", round_no, kept.count(), lost.count())
         round_no += 1
         live = scratch.put(live.join(kept.unionByName(lost), "id", "left_anti"), f"live-{round_no}")
     return spark.read.schema("id string").parquet(*decided)
@@ -210,7 +207,7 @@ def near_duplicate_dedup(
 ) -> DataFrame:
     """Posts without near duplicates; the most engaging copy stays.
 
-    Needs unique ids and content. Runs jobs while it is called (some per round);
+    Needs unique ids. Posts without content or id have no duplicates and stay. Runs jobs while it is called (some per round);
     every intermediate table lies in the shared scratch folder, so a lost
     executor costs a task and not the rounds before. ``posts`` is read twice
     and must be the same both times.
@@ -220,18 +217,18 @@ def near_duplicate_dedup(
         threshold=threshold or base.threshold,
         num_perm=num_perm or base.num_perm,
         shingle_words=base.shingle_words,
-        hot_bucket_rows=base.hot_bucket_rows,
     )
     work = Scratch(posts.sparkSession, "near-dup-work")
     banded = work.put(banded_texts(posts, settings, ts, post_id), "banded")
     kept = banded.select("id")
-    dropped = _dropped_texts(work, bucket_entries(banded), settings)
+    dropped = _dropped_texts(work, bucket_entries(banded))
     if dropped is not None:
         kept = kept.join(dropped, "id", "left_anti")
     # Only the kept ids outlive the call; the larger work tables go at once.
     kept = Scratch(posts.sparkSession, "near-dup").put(kept, "kept")
     work.drop()
-    return posts.join(kept, F.col(post_id) == F.col("id"), "left_semi")
+    comparable = posts.join(kept, F.col(post_id) == F.col("id"), "left_semi")
+    return comparable.unionByName(posts.where(F.col("content").isNull() | F.col(post_id).isNull()))
 
 
 def deduplicate(
@@ -239,7 +236,8 @@ def deduplicate(
     near_duplicates: bool = True,
     settings: NearDuplicateSettings | None = None,
     ts: str | None = "timestamp",
+    key_columns: list[str] | tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Exact tier, then (unless switched off) the near-duplicate tier."""
-    unique = exact_dedup(posts)
+    """Exact tier by ``key_columns``, then (unless switched off) the near-duplicate tier."""
+    unique = exact_dedup(posts, key_columns)
     return near_duplicate_dedup(unique, settings=settings, ts=ts) if near_duplicates else unique

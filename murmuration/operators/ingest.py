@@ -11,9 +11,6 @@ from murmuration.config import DEFAULT, CollectionSettings
 from murmuration.functions import text
 from murmuration.sources.scratch import Scratch
 
-# One short row per tag: some tens of megabytes at most.
-MAX_BROADCAST_TAGS = 500_000
-
 
 def engagement_score() -> Column:
     """Replies weigh most, then reposts, then likes; 64-bit so that it cannot overflow."""
@@ -49,7 +46,8 @@ def with_entities(posts: DataFrame) -> DataFrame:
 def parse_cards(cards: DataFrame) -> DataFrame:
     """Typed columns from the link and the count labels of collected cards.
 
-    Expects ``link``, ``like_label``, ``retweet_label`` and ``reply_label``.
+    Expects ``link``, ``like_label``, ``retweet_label`` and ``reply_label``; where there is a
+    ``time_label`` (ISO text with a zone) or a ``username``, they become ``timestamp`` and the name without "@".
     Cards without a post id in the link are no posts and are left out.
     """
     parsed = cards.withColumns(
@@ -60,8 +58,12 @@ def parse_cards(cards: DataFrame) -> DataFrame:
             "reply_count": text.count_from_label(F.col("reply_label")),
         }
     )
+    if "time_label" in cards.columns:
+        parsed = parsed.withColumn("timestamp", F.col("time_label").try_cast("timestamp"))
+    if "username" in cards.columns:
+        parsed = parsed.withColumn("username", F.regexp_replace("username", "^@+", ""))
     return parsed.where(F.col("post_id").isNotNull()).drop(
-        "link", "like_label", "retweet_label", "reply_label"
+        "link", "like_label", "retweet_label", "reply_label", "time_label"
     )
 
 
@@ -73,10 +75,18 @@ def normalise_delivered(posts: DataFrame) -> DataFrame:
 def within_lookback(
     posts: DataFrame, as_of: datetime | Column, hours: int | None = None, ts: str = "timestamp"
 ) -> DataFrame:
-    """Posts not older than ``hours`` before ``as_of``. With a constant the filter reaches the scan."""
+    """Posts not older than ``hours`` before ``as_of``. With a constant the filter reaches the scan.
+
+    Stored posts lie in folders by ``scrape_date``, the date of the post: older folders are not listed.
+    """
     hours = DEFAULT.collection.lookback_hours if hours is None else hours
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return posts.where(F.col(ts) >= moment - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    oldest = moment - F.expr(f"INTERVAL {int(hours)} HOURS")
+    recent = posts.where(F.col(ts) >= oldest)
+    if "scrape_date" in posts.columns:
+        day = F.date_format(oldest.cast("timestamp"), "yyyy-MM-dd")
+        recent = recent.where(F.col("scrape_date").isNull() | (F.col("scrape_date") >= day))
+    return recent
 
 
 def tag_targets(spark: SparkSession, settings: CollectionSettings | None = None) -> DataFrame:
@@ -110,8 +120,8 @@ def cap_per_tag(
     counts (two narrow columns, aggregated before the shuffle) give the hour in
     which a tag reaches its target, so older posts are left in the scan stage.
     What remains is ranked within salted parts of the tag, and only the best of
-    each part are ranked across the tag. Both steps are exact; the first needs
-    one row per tag in memory and is skipped should there be too many tags.
+    each part are ranked across the tag. Both steps are exact. The largest target
+    is repeated as a constant, which Catalyst can apply before the shuffle.
     """
     settings = settings or DEFAULT.collection
     spark = posts.sparkSession
@@ -129,12 +139,12 @@ def cap_per_tag(
         .agg(F.min("_hour").alias("_cutoff"))
     )
     cutoff = Scratch(spark, "tag-cutoff").put(cutoff, "cutoff")
-    recent = posts
-    if cutoff.count() <= MAX_BROADCAST_TAGS:
-        recent = posts.join(
-            F.broadcast(cutoff), (F.col(tag) == F.col("_tag")) & (F.col(ts) >= F.col("_cutoff"))
-        ).drop("_tag", "_cutoff")
+    # stored, so the planner knows its size and broadcasts it where that is small
+    recent = posts.join(
+        cutoff, (F.col(tag) == F.col("_tag")) & (F.col(ts) >= F.col("_cutoff"))
+    ).drop("_tag", "_cutoff")
 
+    largest = settings.posts_per_hashtag
     order = [F.desc(ts), F.asc(post_id)]
     salt = F.pmod(F.xxhash64(post_id, ts), F.lit(salts))
     part = Window.partitionBy(tag, "_salt").orderBy(*order)
@@ -142,9 +152,9 @@ def cap_per_tag(
     return (
         recent.withColumn("_salt", salt)
         .withColumn("_rank", F.row_number().over(part))
-        .where(F.col("_rank") <= target_column(tag, settings))
+        .where((F.col("_rank") <= largest) & (F.col("_rank") <= target_column(tag, settings)))
         .withColumn("_rank", F.row_number().over(whole))
-        .where(F.col("_rank") <= target_column(tag, settings))
+        .where((F.col("_rank") <= largest) & (F.col("_rank") <= target_column(tag, settings)))
         .drop("_salt", "_rank")
     )
 

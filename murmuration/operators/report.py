@@ -157,7 +157,10 @@ def markdown_lines(report: DataFrame, settings: CollectionSettings | None = None
             _cell("target"), F.lit(" posts missing."),
         ).alias("line"),
     )
-    parts = [head, total, table_head, body, notes_head, notes]
+    none_short = notes.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        F.lit(50).alias("position"), F.lit("").alias("hashtag"), F.lit("Every tag has reached its target.").alias("line")
+    )
+    parts = [head, total, table_head, body, notes_head, notes, none_short]
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)

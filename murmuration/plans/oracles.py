@@ -162,8 +162,8 @@ def _configured(tags: tuple[str, ...]) -> str:
 
 _BANDS, _ROWS = SIGNATURE
 _PERMUTED = ", ".join(
-    "min(({a} * h + {b}) % {p})::BIGINT AS m{i}".format(
-        a=minhash.permutation(i)[0], b=minhash.permutation(i)[1], p=minhash.PRIME, i=i
+    "min(({a} * h{lane} + {b}) % {p})::BIGINT AS m{i}".format(
+        a=minhash.permutation(i)[0], b=minhash.permutation(i)[1], p=minhash.PRIME, i=i, lane=i % 2
     )
     for i in range(_BANDS * _ROWS)
 )
@@ -187,7 +187,8 @@ shingle_sets AS (
      AS shingle
   FROM split_texts),
 hashed AS (
-  SELECT post_id, ('0x' || substr(md5(shingle), 1, 8))::BIGINT % {minhash.PRIME} AS h
+  SELECT post_id, ('0x' || substr(md5(shingle), 1, 8))::BIGINT % {minhash.PRIME} AS h0,
+         ('0x' || substr(md5(shingle), 9, 8))::BIGINT % {minhash.PRIME} AS h1
   FROM shingle_sets),
 signed AS (SELECT post_id, {_PERMUTED} FROM hashed GROUP BY post_id)"""
 

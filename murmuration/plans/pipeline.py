@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ def score_posts(
     ts: str = "timestamp",
 ) -> DataFrame:
     """Duplicates are judged on the raw text, before cleaning."""
-    unique = dedup.deduplicate(raw, near_duplicates, config.near_dup, ts)
+    unique = dedup.deduplicate(raw, near_duplicates, config.near_dup, ts, config.storage.key_columns)
     return sentiment.with_sentiment(cleaning.clean_posts(unique))
 
 
@@ -103,7 +102,7 @@ def run_report(
 
 def main(argv: list[str]) -> int:
     if len(argv) != 2:
-        print("usage: spark-submit murmuration/plans/pipeline.py RAW_PATH OUT_PATH")
+        print("usage: spark-submit run_signals.py RAW_PATH OUT_PATH")
         return 2
     spark = (
         SparkSession.builder.appName("murmuration")
@@ -121,6 +120,3 @@ def main(argv: list[str]) -> int:
     result.report.orderBy("hashtag").show(truncate=False)
     return 0
 
-
-if __name__ == "__main__":
-    sys.exit(main(sys.argv[1:]))

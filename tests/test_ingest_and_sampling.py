@@ -54,7 +54,7 @@ def capped(df, **kw):
     return found
 
 
-def test_cap_keeps_the_newest_of_each_tag(spark, monkeypatch):
+def test_cap_keeps_the_newest_of_each_tag(spark):
     rows = [(f"h{i:03}", "hot", START + timedelta(minutes=i), 0) for i in range(200)]
     rows += [("c1", "cold", START, 0), ("x1", "extra", START, 0), ("x2", "extra", START, 0)]
     rows += [("x3", "extra", START + timedelta(days=1), 0), ("n", None, START, 0)]
@@ -62,8 +62,6 @@ def test_cap_keeps_the_newest_of_each_tag(spark, monkeypatch):
     expected = {"hot": {f"h{i}" for i in range(195, 200)}, "cold": {"c1"}, "extra": {"x3", "x1"}}
     assert capped(df) == expected
     assert capped(df, salts=1) == expected
-    monkeypatch.setattr(ingest, "MAX_BROADCAST_TAGS", 0)
-    assert capped(df) == expected
 
 
 def test_cap_with_all_posts_in_one_instant(spark):
@@ -118,3 +116,21 @@ def test_scatter_sizes_and_strict_colour_bounds(spark):
     )
     rows = {r["post_id"]: (r["size"], r["colour"]) for r in sampling.scatter_frame(df).collect()}
     assert rows == {"1": (29.0, "#9e9e9e"), "2": (14.0, "#c62828"), "3": (4.0, "#2e7d32")}
+
+
+def test_lookback_prunes_date_folders(spark, plan_of, tmp_path):
+    df = posts(spark, [(str(i), "hot", START - timedelta(days=i), 0) for i in range(4)])
+    df.withColumn("scrape_date", F.date_format("timestamp", "yyyy-MM-dd")).write.partitionBy("scrape_date").parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p")).withColumn("scrape_date", F.col("scrape_date").cast("string"))
+    recent = ingest.within_lookback(stored, START, 24)
+    assert recent.count() == 2
+    assert "PartitionFilters: []" not in plan_of(recent)
+
+
+def test_cards_give_time_and_plain_name(spark):
+    cards = spark.createDataFrame(
+        [("/u/status/5", "1 like", "", "", "2024-01-02T03:04:05Z", "@some_one"), ("/u", "", "", "", None, None)],
+        "link string, like_label string, retweet_label string, reply_label string, time_label string, username string",
+    )
+    (row,) = ingest.parse_cards(cards).collect()
+    assert (row["post_id"], row["timestamp"], row["username"]) == ("5", datetime(2024, 1, 2, 3, 4, 5), "some_one")
