@@ -35,6 +35,13 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def sliced(batches, rows: int = 500):
+    """The batches in slices of a few rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 def n_words(text: Column) -> Column:
     """Number of words, as long; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

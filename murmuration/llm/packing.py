@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import texts_of
+from murmuration.llm.common import sliced, texts_of
 from murmuration.llm.tokens import encoder
 from murmuration.sources.scratch import Scratch
 
@@ -72,7 +72,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     def cut(batches):
         encode, nth = encoder(tokenizer).encode, 0
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
                 ids = encode(text) + end

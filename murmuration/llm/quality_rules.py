@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from murmuration.llm.common import texts_of
+from murmuration.llm.common import sliced, texts_of
 from murmuration.sources.scratch import Scratch
 
 MIN_WORDS = 50
@@ -86,7 +86,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     def measure(batches):
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in sliced(batches):
             texts = texts_of(batch)
             found = [measure_text(t) for t in texts]
             hashes = np.array([xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in texts], np.uint64).view(np.int64)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from murmuration.llm.common import fresh
+from murmuration.llm.common import fresh, sliced
 from murmuration.llm.components import connected_components
 from murmuration.sources.scratch import Scratch
 
@@ -72,7 +72,7 @@ def fingerprint(text: Column) -> Column:
 
     @F.arrow_udf("long")
     def simhash(texts: pa.Array) -> pa.Array:
-        found = np.array([fingerprint_of(t or "") for t in texts.to_pylist()], np.uint64)
+        found = np.array([fingerprint_of(t or "") for some in sliced([texts]) for t in some.to_pylist()], np.uint64)
         return pa.array(found.view(np.int64))
 
     return simhash(text.cast("string"))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import mixed, split_batches, texts_of, word_hashes
+from murmuration.llm.common import mixed, sliced, split_batches, texts_of, word_hashes
 from murmuration.sources.scratch import Scratch
 
 WIDTH = 35
@@ -48,6 +48,8 @@ MAX_BITS = 30
 BLOCK_BITS = 20
 #: Characters of a chunk of documents; a longer document is a chunk of its own.
 CHUNK_CHARS = 2_000_000
+#: Documents of a chunk, at most.
+CHUNK_DOCS = 600
 _U = np.uint64
 
 
@@ -113,9 +115,10 @@ def partition_sketches(docs: DataFrame, bits: int, width: int, anchor: int) -> D
     def sketch(batches):
         for batch in batches:
             found = []
-            for _, texts in split_batches(batch, texts_of(batch), CHUNK_CHARS):
-                chunk = Chunk(texts, width, anchor)
-                found.append(chunk.anchors[np.unique(chunk.place)])
+            for part in sliced([batch], CHUNK_DOCS):
+                for _, texts in split_batches(part, texts_of(part), CHUNK_CHARS):
+                    chunk = Chunk(texts, width, anchor)
+                    found.append(chunk.anchors[np.unique(chunk.place)])
             anchors = np.concatenate(found) if found else np.zeros(0, _U)
             out = []
             for row in range(ROWS):
@@ -227,10 +230,10 @@ def _candidates(docs: DataFrame, bitmap, bits: int, width: int, anchor: int, car
 
     def find(batches):
         part, nth = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in sliced(batches, CHUNK_DOCS):
             raw = batch.column("text").to_pylist()
             done = 0
-            for some, texts in split_batches(batch, texts_of(batch), CHUNK_CHARS):
+            for some, texts in split_batches(batch, [t or "" for t in raw], CHUNK_CHARS):
                 number = (part << 32) + nth
                 nth += 1
                 chunk = Chunk(texts, width, anchor)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import texts_of
+from murmuration.llm.common import sliced, texts_of
 from murmuration.llm.tokens import encoder
 
 # Ids per word and bits per id, by selector; selector 1 is the escape.
@@ -181,7 +181,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first", pa.int64()), ("payload", pa.binary())]),
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
                 ids = encode(text) + end
                 if names and held + len(ids) // 4 > segment_ids:

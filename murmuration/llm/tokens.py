@@ -19,7 +19,7 @@ _ODD_BLANK = re.compile(r" (?=\s|\Z)")
 #: Pieces that the splitting rule keeps whole or parts before the final mark only.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]?)")
 #: Entries a worker keeps (about 0.2 kB each).
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 
 
 def _byte_letters() -> dict[int, str]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from murmuration.llm.common import once_per_worker
+from murmuration.llm.common import once_per_worker, sliced
 
 BITS = 18
 #: Bound of the training sample, per class.
@@ -180,7 +180,7 @@ class Model:
         @F.arrow_udf("double")
         def scored(texts: pa.Array) -> pa.Array:
             scorer = model._scorer()
-            return pa.array([scorer.score(t or "") for t in texts.to_pylist()], pa.float64())
+            return pa.array([scorer.score(t or "") for some in sliced([texts]) for t in some.to_pylist()], pa.float64())
 
         return scored(text.cast("string"))
 
