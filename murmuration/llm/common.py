@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
 import numpy as np
@@ -17,6 +18,8 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BYTE_VALUES = np.random.default_rng(20_240_229).integers(1, 1 << 63, (2, 256), np.uint64)
 _POWERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Bytes whose words are hashed at a time.
+_HASHED_BYTES = 250_000
 
 
 def once_per_worker(key: tuple, make):
@@ -35,11 +38,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker outlives its task and shares its executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries do so by themselves
+    if trim:
+        trim(0)
+
+
 def sliced(batches, rows: int = 500):
     """The batches in slices of a few rows, so that few texts are Python strings at a time."""
     for batch in batches:
         for first in range(0, len(batch), rows):
             yield batch.slice(first, rows)
+    give_back()
 
 
 def n_words(text: Column) -> Column:
@@ -79,6 +91,20 @@ def word_hashes(encoded: list[bytes], lanes: int = 2) -> tuple[np.ndarray, list[
     A hash is the sum over a word's bytes of a random value of the byte times a power of an odd
     number, scattered: array operations over the bytes, without a Python object per word.
     """
+    counts, hashes = [np.zeros(0, np.int64)], [[np.zeros(0, np.uint64)] for _ in range(lanes)]
+    first = size = 0
+    for i, text in enumerate(encoded):
+        size += len(text)
+        if size >= _HASHED_BYTES or i == len(encoded) - 1:
+            some, found = _hashed(encoded[first : i + 1], lanes)
+            counts.append(some)
+            for kept, lane in zip(hashes, found, strict=True):
+                kept.append(lane)
+            first, size = i + 1, 0
+    return np.concatenate(counts), [np.concatenate(kept) for kept in hashes]
+
+
+def _hashed(encoded: list[bytes], lanes: int) -> tuple[np.ndarray, list[np.ndarray]]:
     flat = np.frombuffer(b" ".join([*encoded, b""]), np.uint8)
     solid = np.flatnonzero(~_BLANK[flat])
     if not len(solid):
@@ -90,7 +116,9 @@ def word_hashes(encoded: list[bytes], lanes: int = 2) -> tuple[np.ndarray, list[
     out = []
     for lane in range(lanes):
         powers = np.cumprod(np.r_[np.uint64(1), np.full(longest - 1, _POWERS[lane])], dtype=np.uint64)
-        out.append(mixed(np.add.reduceat(_BYTE_VALUES[lane][flat[solid]] * powers[place], first)))
+        values = _BYTE_VALUES[lane][flat[solid]]
+        values *= powers[place]
+        out.append(mixed(np.add.reduceat(values, first)))
     borders = np.cumsum([len(e) + 1 for e in encoded])
     upto = np.searchsorted(solid[first], borders)
     return np.diff(np.r_[0, upto]).astype(np.int64), out

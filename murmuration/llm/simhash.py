@@ -42,7 +42,9 @@ TREE_NODES = 20_000
 #: Rows of a task that builds trees, about.
 TASK_NODES = 200_000
 #: (query, node) pairs that are held at once.
-_FRONT = 4_000_000
+_FRONT = 2_000_000
+#: Hashes whose bits are counted at once.
+_COUNTED = 1 << 16
 
 
 def fingerprint_of(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -62,8 +64,10 @@ def fingerprint_of(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def majority(hashes: np.ndarray) -> int:
     """The number whose bits are set in over half of the hashes."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = bits.sum(axis=0, dtype=np.int64)
+    ones = np.zeros(64, np.int64)
+    for first in range(0, len(hashes), _COUNTED):  # a very long text has very many
+        some = hashes[first : first + _COUNTED].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
