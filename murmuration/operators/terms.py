@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from murmuration.config import DEFAULT, TermSettings
 from murmuration.functions.stopwords import ENGLISH
 from murmuration.functions.text import WORD
+from murmuration.operators.sampling import at_or_above_cut
 from murmuration.sources.scratch import Scratch
 
 # A vocabulary is broadcast only if its stored terms are measured to be smaller than this.
@@ -73,15 +74,19 @@ def term_counts(
 
 
 def vocabulary_of(counts: DataFrame, settings: TermSettings | None = None) -> DataFrame:
-    """(term, tf, df) of the most frequent terms that enough posts contain."""
+    """(term, tf, df) of the most frequent terms that enough posts contain.
+
+    The cut-off frequency is found first (its pass reuses the shuffle by term), so the final order
+    takes few more terms than it keeps.
+    """
     settings = settings or DEFAULT.terms
-    return (
+    frequencies = (
         counts.groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= settings.min_df)
-        .orderBy(F.desc("tf"), F.asc("term"))
-        .limit(settings.max_features)
     )
+    reached = at_or_above_cut(frequencies, F.col("tf"), settings.max_features)
+    return reached.orderBy(F.desc("tf"), F.asc("term")).limit(settings.max_features)
 
 
 def tfidf(

@@ -134,3 +134,10 @@ def test_cards_give_time_and_plain_name(spark):
     )
     (row,) = ingest.parse_cards(cards).collect()
     assert (row["post_id"], row["timestamp"], row["username"]) == ("5", datetime(2024, 1, 2, 3, 4, 5), "some_one")
+
+
+def test_ranges_rise_with_the_value(spark):
+    values = sorted({s * ((1 << k) + d) for k in range(62) for d in (-1, 0, 1) for s in (-1, 1)} | set(range(-300, 300)))
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    found = [r.r for r in df.select("v", sampling.magnitude_range(F.col("v")).alias("r")).orderBy("v").collect()]
+    assert found == sorted(found) and len(set(found)) < 2 * 64 * 256
