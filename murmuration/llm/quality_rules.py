@@ -44,8 +44,8 @@ _MEASURED = (
 )
 
 
-def normal_line(line: str) -> str:
-    return " ".join(line.lower().translate(_DIGITS).split())
+def normal_line(line: str) -> bytes:
+    return b" ".join(line.lower().translate(_DIGITS).encode("utf-8", "replace").split())
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -73,7 +73,7 @@ def measure_text(text: str) -> tuple:
         n = len(line.encode("utf-8", "replace").split())
         if n:
             seen.append(line)
-            h = xxh3_64_intdigest(normal_line(line).encode("utf-8", "replace"))
+            h = xxh3_64_intdigest(normal_line(line))
             lines.append({"at": at, "hash": h - (1 << 64) if h >> 63 else h, "words": n})
     chars = len(text) - sum(map(text.count, _SPACES))
     return len(words), chars, sum(map(text.count, SYMBOLS)), len(seen) - len(set(seen)), repeated_words(words), lines
@@ -151,7 +151,7 @@ WITH texts AS (
   SELECT nth, source, text, unnest(string_split(text, chr(10))) AS line FROM texts
 ), spoken AS (
   SELECT nth, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
-         trim(regexp_replace(regexp_replace(lower(line), '[1-9]', '0', 'g'), '\s+', ' ', 'g')) AS normal
+         trim(regexp_replace(regexp_replace(lower(line), '[1-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS normal
   FROM lines
 ), filled AS (SELECT * FROM spoken WHERE n > 0
 ), dups AS (SELECT nth, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY nth
