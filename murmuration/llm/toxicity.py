@@ -12,7 +12,8 @@ The model is fitted on a bounded sample: at most about ``per_class`` labelled do
 hash of the id, from training rows only (crc32 of the id modulo 3 is not 1). Every document is scored, whole.
 
 Edge cases: a null, empty or wordless text has no sentence and scores 0; rows without id are scored and never
-learned from; repeated rows are scored alike; without any usable label nothing is learned and all scores are low; an
+learned from; repeated rows are scored alike and learned from once (of labels that differ the toxic one, of texts the
+first in code point order); without any usable label nothing is learned and all scores are low; an
 empty table gives no rows. Other columns are not read.
 """
 
@@ -206,11 +207,12 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on at most about ``per_class`` documents of each class."""
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y"))
+    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_y"))
     total = {r._y: r.n for r in usable.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.when(F.col("_y") == 1, F.lit(min(1.0, per_class / max(1, total.get(1, 0))))).otherwise(F.lit(min(1.0, per_class / max(1, total.get(0, 0)))))
-    sample = usable.where(draw < share).dropDuplicates(["_id"])  # about 2 * per_class ids
+    sample = usable.where(draw < share)  # about 2 * per_class ids
 
     @F.arrow_udf("struct<features:binary,sizes:binary>")
     def bags(texts: pa.Array) -> pa.Array:
@@ -218,6 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         return pa.StructArray.from_arrays([pa.array([np.array(x, "<u4").tobytes() for x in column], pa.binary()) for column in (zip(*found, strict=True) if found else ([], []))], names=["features", "sizes"])
 
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    joined = joined.groupBy("_id", "_y").agg(F.min("text").alias("text"))  # rows that share an id teach once
     rows = sorted((r._id, r._y, bytes(r.b.features), bytes(r.b.sizes)) for r in joined.select("_id", "_y", bags(F.col("text").cast("string")).alias("b")).collect())
     found = [(np.frombuffer(f, "<u4").astype(np.int64), np.frombuffer(s, "<u4").astype(np.int64)) for _, _, f, s in rows]
     y = np.array([r[1] for r in rows])
