@@ -18,7 +18,8 @@ from murmuration.plans.queries import REGISTRY
 HEADLINE = (
     "engagement", "entities", "exact_dedup", "tag_cap", "norm_text", "minhash", "near_dedup",
     "two_tier_dedup", "clean_text", "sentiment", "sentiment_split", "tfidf", "top_terms",
-    "signal_15m", "composite", "tag_report", "top_posts", "reservoir", "full_run_signal",
+    "signal_15m", "composite", "tag_report", "report_markdown", "scatter_frame", "top_posts", "reservoir",
+    "full_run_signal",
 )
 
 

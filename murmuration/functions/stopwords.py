@@ -1,6 +1,6 @@
 """Default stop list of the term features; callers may pass their own."""
 
-# English function words, two letters or more.
+# The words of Spark's default English stop list that can be a token (letters only, two or more).
 ENGLISH = frozenset(
     """
     me my myself we our ours ourselves you your yours yourself yourselves he him his himself she

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuration.config import DEFAULT, SampleSettings
+from murmuration.sources.scratch import Scratch
 
 HASH_BITS = 32
 # At most 2^20 hash ranges, so one task can accumulate their counts whatever the
@@ -97,7 +98,11 @@ def top_posts(
 def scatter_frame(
     scored: DataFrame, settings: SampleSettings | None = None, ts: str = "timestamp"
 ) -> DataFrame:
-    """Points of the sentiment scatter, drawn from a bounded uniform sample."""
+    """Points of the sentiment scatter, drawn from a bounded uniform sample.
+
+    The sample reads its input twice; the few columns of a point are stored first, so that
+    cleaning and scoring run once.
+    """
     score = F.col("sentiment_score")
     colour = (
         F.when(score > COLOUR_BAND, F.lit(UP_COLOUR))
@@ -108,7 +113,9 @@ def scatter_frame(
         F.least(F.col("engagement_score"), F.lit(ENGAGEMENT_CEILING)) / F.lit(SIZE_DIVISOR)
         + F.lit(SIZE_OFFSET)
     )
-    return uniform_sample(scored, settings).select(
+    points = scored.select("post_id", ts, "sentiment_score", "engagement_score")
+    points = Scratch(scored.sparkSession, "scatter").put(points, "points")
+    return uniform_sample(points, settings).select(
         "post_id",
         F.col(ts).alias("ts"),
         "sentiment_score",

@@ -11,7 +11,7 @@ from murmuration.functions import lexicon, minhash
 from murmuration.functions.stats import normal_quantile
 from murmuration.functions.stopwords import ENGLISH
 from murmuration.functions.text import EMOJI, EMOJI_SEQUENCE, SPACE, URL, WORD
-from murmuration.plans.queries import DAILY, DEMO_TAGS, SIGNATURE
+from murmuration.plans.queries import DAILY, DEMO_TAGS, LOOSE_SIGNATURE, SIGNATURE
 from murmuration.sources.given_tables import ARTICLE_POSTS_SQL, POSTS_SQL
 
 _POSTS = f"""
@@ -39,6 +39,16 @@ def _words(column: str, sign: str) -> str:
     return rf"list_transform(regexp_extract_all({column}, '{sign}([{WORD}]+)', 1), lambda t: lower(t))"
 
 
+# The compatibility characters of the endings, and what they stand for.
+_COMPATIBLE = {"\ufb01": "fi", "\u2122": "TM", "\u24c2": "M", "\uff23": "C", "\uff41": "a", "\uff46": "f"}
+
+
+def _nfkc(column: str) -> str:
+    for sign, plain in _COMPATIBLE.items():
+        column = f"replace({column}, '{sign}', '{plain}')"
+    return f"nfc_normalize({column})"
+
+
 def _comparable(column: str) -> str:
     no_url = rf"regexp_replace(lower({column}), 'http[^{SPACE}]+', ' ', 'g')"
     words_only = rf"regexp_replace({no_url}, '[^{WORD}{SPACE}]', ' ', 'g')"
@@ -59,7 +69,7 @@ def _cleaned(source: str) -> str:
     return rf"""
 cleaned AS (
   SELECT * FROM (
-    SELECT *, {_clean('content')} AS content_clean, {_emojis('content')} AS emoji_list,
+    SELECT *, {_clean(_nfkc('content'))} AS content_clean, {_emojis('content')} AS emoji_list,
            CASE WHEN NOT regexp_matches(content, '[\x{{0900}}-\x{{097F}}]') THEN 'latin'
                 WHEN regexp_matches(content, '[a-zA-Z]') THEN 'devanagari_mixed'
                 ELSE 'devanagari' END AS script
@@ -161,23 +171,23 @@ def _configured(tags: tuple[str, ...]) -> str:
 # --- MinHash ----------------------------------------------------------------------------------
 
 _BANDS, _ROWS = SIGNATURE
-_PERMUTED = ", ".join(
-    "min(({a} * h{lane} + {b}) % {p})::BIGINT AS m{i}".format(
-        a=minhash.permutation(i)[0], b=minhash.permutation(i)[1], p=minhash.PRIME, i=i, lane=i % 2
-    )
-    for i in range(_BANDS * _ROWS)
-)
 
 
-def _band_key(band: int) -> str:
-    part = ", ".join(f"m{i}" for i in range(band * _ROWS, (band + 1) * _ROWS))
-    return f"'{band}:' || md5(concat_ws(',', {part}))"
+def _permuted(n: int) -> str:
+    return ", ".join(
+        "min(({a} * h{lane} + {b}) % {p})::BIGINT AS m{i}".format(
+            a=minhash.permutation(i)[0], b=minhash.permutation(i)[1], p=minhash.PRIME, i=i, lane=i % 2
+        )
+        for i in range(n)
+    )
 
 
-_BAND_LIST = ", ".join(_band_key(b) for b in range(_BANDS))
+def _band_list(bands: int, rows: int) -> str:
+    parts = [", ".join(f"m{i}" for i in range(b * rows, (b + 1) * rows)) for b in range(bands)]
+    return ", ".join(f"'{b}:' || md5(concat_ws(',', {part}))" for b, part in enumerate(parts))
 
 
-def _signed(source: str) -> str:
+def _signed(source: str, n: int = _BANDS * _ROWS) -> str:
     return f"""
 comparables AS (SELECT *, {_comparable('content')} AS comparable FROM {source}),
 split_texts AS (SELECT post_id, comparable, string_split(comparable, ' ') AS tk FROM comparables),
@@ -190,12 +200,12 @@ hashed AS (
   SELECT post_id, ('0x' || substr(md5(shingle), 1, 8))::BIGINT % {minhash.PRIME} AS h0,
          ('0x' || substr(md5(shingle), 9, 8))::BIGINT % {minhash.PRIME} AS h1
   FROM shingle_sets),
-signed AS (SELECT post_id, {_PERMUTED} FROM hashed GROUP BY post_id)"""
+signed AS (SELECT post_id, {_permuted(n)} FROM hashed GROUP BY post_id)"""
 
 
-def _entries(source: str) -> str:
+def _entries(source: str, layout: tuple[int, int] = SIGNATURE) -> str:
     """Bucket entries of the best-ranked post of each distinct text."""
-    return f"""{_signed(source)},
+    return f"""{_signed(source, layout[0] * layout[1])},
 ranked AS (
   SELECT post_id, row_number() OVER (ORDER BY engagement_score DESC NULLS LAST,
            timestamp NULLS FIRST, post_id) AS pos, comparable
@@ -204,13 +214,13 @@ firsts AS (
   SELECT post_id, pos FROM ranked
   QUALIFY row_number() OVER (PARTITION BY comparable ORDER BY pos) = 1),
 entries AS (
-  SELECT f.post_id, f.pos, unnest([{_BAND_LIST}]) AS bucket
+  SELECT f.post_id, f.pos, unnest([{_band_list(*layout)}]) AS bucket
   FROM firsts f JOIN signed USING (post_id))"""
 
 
-def _near(source: str) -> str:
+def _near(source: str, layout: tuple[int, int] = SIGNATURE) -> str:
     """Rounds of the greedy rule: keep what leads all its buckets, drop what it collides with."""
-    return f"""{_entries(source)},
+    return f"""{_entries(source, layout)},
 rounds AS (
   SELECT post_id, pos, bucket, 'open' AS state FROM entries
   UNION ALL
@@ -314,6 +324,12 @@ ORACLES: dict[str, str] = {
                CAST(floor(value * 100) AS BIGINT) AS like_count,
                user_id AS retweet_count, 0::BIGINT AS reply_count
         FROM events""",
+    "cards": rf"""
+        WITH {_POSTS}
+        SELECT post_id, trim(username) AS username, timestamp, like_count, engagement_score, scrape_date,
+               array_to_string({_words('content', '#')}, ' ') AS hashtags,
+               regexp_matches(content, '^[{SPACE}]*@') AS is_reply
+        FROM posts""",
     "lookback": f"""
         WITH {_POSTS}
         SELECT post_id, timestamp FROM posts
@@ -346,7 +362,7 @@ ORACLES: dict[str, str] = {
         WITH {_ARTICLES}, {_signed('articles')}
         SELECT post_id,
                concat_ws(',', {', '.join(f'm{i}' for i in range(_BANDS * _ROWS))}) AS signature,
-               concat_ws(' ', {_BAND_LIST}) AS buckets
+               concat_ws(' ', {_band_list(_BANDS, _ROWS)}) AS buckets
         FROM signed""",
     "lsh_buckets": f"""
         WITH {_ARTICLES}, {_entries('articles')}
@@ -359,6 +375,16 @@ ORACLES: dict[str, str] = {
                count(*) OVER (PARTITION BY bucket) AS members
         FROM entries
         QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY pos) > 1""",
+    "lsh_candidates_080": f"""
+        WITH {_ARTICLES}, {_entries('articles', LOOSE_SIGNATURE)}
+        SELECT bucket, post_id AS member,
+               first_value(post_id) OVER (PARTITION BY bucket ORDER BY pos) AS leader,
+               count(*) OVER (PARTITION BY bucket) AS members
+        FROM entries
+        QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY pos) > 1""",
+    "near_dedup_080": f"""
+        WITH RECURSIVE {_ARTICLES}, {_near('articles', LOOSE_SIGNATURE)}
+        SELECT post_id, engagement_score FROM articles SEMI JOIN near_kept USING (post_id)""",
     "near_dedup": f"""
         WITH RECURSIVE {_ARTICLES}, {_near('articles')}
         SELECT post_id, engagement_score FROM articles SEMI JOIN near_kept USING (post_id)""",
@@ -367,7 +393,7 @@ ORACLES: dict[str, str] = {
         SELECT post_id, primary_hashtag, engagement_score
         FROM exact_posts SEMI JOIN near_kept USING (post_id)""",
     "nfkc": f"""
-        WITH {_POSTS} SELECT post_id, nfc_normalize(content) AS normalised FROM posts""",
+        WITH {_POSTS} SELECT post_id, {_nfkc('content')} AS normalised FROM posts""",
     "emojis": f"""
         WITH {_POSTS}
         SELECT post_id, array_to_string({_emojis('content')}, ' ') AS emojis FROM posts""",
@@ -489,7 +515,9 @@ ORACLES: dict[str, str] = {
                sum(engagement_score)::BIGINT AS engagement,
                sum(len({_words('content', '#')}))::BIGINT AS tags
         FROM posts GROUP BY scrape_date, primary_hashtag""",
-    "stream_dedup": f"WITH {_POSTS} SELECT post_id, timestamp FROM posts",
+    "stream_dedup": f"""
+        WITH {_POSTS}
+        SELECT post_id, timestamp, length(content)::INTEGER AS n_chars, md5(content) AS content_md5 FROM posts""",
     "stream_signal": f"""
         WITH {_POSTS}, {_scored('posts')}, {_buckets(DEFAULT.signal, _CLOSED)}
         SELECT symbol, window_start, {_BUCKET}, tweet_count, total_engagement FROM buckets""",

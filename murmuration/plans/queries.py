@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.config import CollectionSettings, SampleSettings, SignalSettings, TermSettings
+from murmuration.config import CollectionSettings, NearDuplicateSettings, SampleSettings, SignalSettings, TermSettings
 from murmuration.functions import minhash, text
 from murmuration.operators import (
     cleaning,
@@ -33,6 +33,9 @@ DEMO_TAGS = CollectionSettings(
 DAILY = SignalSettings(bucket_minutes=24 * 60)
 STREAM_DELAY = "10 minutes"
 SIGNATURE = (3, 21)
+# At 0.80 more texts collide, so that the rounds of the near tier have work.
+LOOSE = NearDuplicateSettings(threshold=0.80)
+LOOSE_SIGNATURE = (5, 11)
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -115,6 +118,24 @@ def count_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.parse_cards(cards)
 
 
+def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collected cards on their way into the stored columns."""
+    shown = given.posts(spark, sf_dir).select(
+        F.concat(F.lit("/someone/status/"), "post_id").alias("link"),
+        F.concat(F.format_number("like_count", 0), F.lit(" Likes. Like")).alias("like_label"),
+        F.concat(F.col("retweet_count"), F.lit(" reposts. Repost")).alias("retweet_label"),
+        F.concat(F.col("reply_count"), F.lit(" Replies. Reply")).alias("reply_label"),
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time_label"),
+        F.concat(F.lit("@"), F.trim("username")).alias("username"),
+        "content",
+    )
+    stored = ingest.normalise_delivered(ingest.parse_cards(shown))
+    return stored.select(
+        "post_id", "username", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "like_count",
+        "engagement_score", "scrape_date", _joined("hashtags"), "is_reply",
+    )
+
+
 def lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = given.posts(spark, sf_dir)
     newest = given.table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
@@ -172,6 +193,15 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.lsh_candidates(given.article_posts(spark, sf_dir))
 
 
+def lsh_candidates_080(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.lsh_candidates(given.article_posts(spark, sf_dir), LOOSE)
+
+
+def near_dedup_080(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = given.article_posts(spark, sf_dir)
+    return dedup.near_duplicate_dedup(posts, settings=LOOSE).select("post_id", "engagement_score")
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicate_dedup(given.article_posts(spark, sf_dir)).select(
         "post_id", "engagement_score"
@@ -313,7 +343,9 @@ def shortfalls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.markdown_lines(_report(spark, sf_dir), DEMO_TAGS)
+    # one row per tag, read by several parts of the text
+    stored = Scratch(spark, "report").put(_report(spark, sf_dir), "report")
+    return report.markdown_lines(stored, DEMO_TAGS)
 
 
 def top_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +407,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "stream-dedup")
     twice = given.cross_posted(given.posts(spark, sf_dir))
-    delivered = _delivered(twice).drop("content")
+    delivered = _delivered(twice)
     sink = _land_and_run(
         spark,
         delivered,
@@ -384,8 +416,11 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             jobs.exact_dedup_stream(stream, STREAM_DELAY), path, state
         ),
     )
-    return spark.read.parquet(sink).select(
-        "post_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp")
+    return spark.read.schema(delivered.schema).parquet(sink).select(
+        "post_id",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        F.char_length("content").alias("n_chars"),
+        F.md5(F.col("content").cast("binary")).alias("content_md5"),
     )
 
 
@@ -433,6 +468,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "engagement": engagement,
     "entities": entities,
     "count_labels": count_labels,
+    "cards": cards,
     "lookback": lookback,
     "tag_cap": tag_cap,
     "collected": collected,
@@ -442,6 +478,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minhash": minhash_signatures,
     "lsh_buckets": lsh_buckets,
     "lsh_candidates": lsh_candidates,
+    "lsh_candidates_080": lsh_candidates_080,
+    "near_dedup_080": near_dedup_080,
     "near_dedup": near_dedup,
     "two_tier_dedup": two_tier_dedup,
     "nfkc": nfkc,

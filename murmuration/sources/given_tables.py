@@ -16,12 +16,14 @@ ENDING_CYCLE = 12
 ENDINGS = {
     0: " bullish breakout rally 🚀 #Nifty50",
     1: " crash, stop loss hit 📉📉 #banknifty #BankNifty",
-    2: " see https://t.co/abc123 and www.example.com now",
-    3: " बाजार आज मजबूत #बाजार",
+    2: " read http://a.example/x1 and www.example.org today",
+    3: " शेयर ऊपर गया #शेयर",
     4: " $NIFTY $ABCDEFGHIJKL long $bank",
     5: " generally, the weather along here",
     6: " buy 🔥 sell 🔴 @Some_User",
     7: "   spaced    out   ",
+    # compatibility characters: a ligature, two signs, full-width letters, a decomposed accent
+    8: " a \ufb01ne \u2122 mark, \u24c2 and \uff23\uff41\uff46e\u0301",
 }
 
 

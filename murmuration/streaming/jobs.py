@@ -58,12 +58,17 @@ def ingest_posts(
     checkpoint: str,
     settings: StorageSettings | None = None,
     trigger: dict = AVAILABLE,
+    salts: int = 1,
 ) -> StreamingQuery:
-    """Derive the stored columns of delivered posts and append them to a post store."""
+    """Derive the stored columns of delivered posts and append them to a post store.
+
+    Posts are grouped by folder first, so a micro-batch adds ``salts`` files to a folder at most. What
+    a dominating folder gets is bounded by the micro-batch (``max_files``); more salts split it further.
+    """
     settings = settings or DEFAULT.storage
-    return _to_parquet(
-        ingest.normalise_delivered(delivered), path, checkpoint, trigger, settings.partition_columns
-    )
+    salt = F.pmod(F.xxhash64("post_id"), F.lit(salts))
+    grouped = ingest.normalise_delivered(delivered).repartition(*settings.partition_columns, salt)
+    return _to_parquet(grouped, path, checkpoint, trigger, settings.partition_columns)
 
 
 def exact_dedup_stream(

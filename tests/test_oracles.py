@@ -42,3 +42,11 @@ def test_query_equals_sql(spark, sql, name):
     assert sorted(names) == columns
     want = sorted(tuple(canon(row[names.index(c)]) for c in columns) for row in cursor.fetchall())
     assert got == want and got
+
+
+def test_nfkc_twin_notices_missing_normalisation(spark, sql):
+    from murmuration.sources import given_tables
+
+    plain = {r["post_id"]: r["content"] for r in given_tables.posts(spark, SF_DIR).collect()}
+    wanted = dict(sql.execute(entry.oracle_sql()["nfkc"]).fetchall())
+    assert sum(plain[i] != w for i, w in wanted.items()) >= len(plain) // 13

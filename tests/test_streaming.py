@@ -38,6 +38,19 @@ def test_ingest_resumes_without_loss_or_repeat(spark, tmp_path):
     assert stored.agg(F.sum("engagement_score")).first() == expected.agg(F.sum("engagement_score")).first()
 
 
+def test_ingest_adds_one_file_per_folder_and_batch(spark, tmp_path):
+    batches = [delivered(spark, range(0, 50)).repartition(7), delivered(spark, range(50, 80)).repartition(7)]
+    sink = run(spark, tmp_path, batches, jobs.ingest_posts)
+    files = list((tmp_path / "sink").rglob("*.parquet"))
+    folders = {f.parent for f in files}
+    assert sink and len(folders) == 2 and len(files) == 2 * len(folders)
+
+
+def test_composite_of_an_empty_sink(spark, tmp_path):
+    (tmp_path / "sink").mkdir()
+    assert jobs.composite_of_finalised(spark, str(tmp_path / "sink")).count() == 0
+
+
 def test_dedup_across_batches(spark, tmp_path):
     batches = [delivered(spark, range(0, 30), copies=3), delivered(spark, range(25, 40), copies=2)]
     sink = run(
