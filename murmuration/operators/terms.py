@@ -73,22 +73,50 @@ def term_counts(
     )
 
 
-def vocabulary_of(counts: DataFrame, settings: TermSettings | None = None) -> DataFrame:
+def term_frequencies(
+    posts: DataFrame,
+    settings: TermSettings | None = None,
+    text: str = "content_clean",
+    post_id: str = "post_id",
+    stop_words: Iterable[str] = ENGLISH,
+) -> DataFrame:
+    """(term, tf, df) of all terms; every row is a post of its own.
+
+    A row adds one to tf per occurrence and one to df per distinct term, so nothing is grouped
+    by post: the only shuffle is that of the partial sums by term.
+    """
+    settings = settings or DEFAULT.terms
+    found = tokenised(posts, text, post_id, stop_words).select(
+        all_terms(F.col("tokens"), settings.max_ngram).alias("_terms")
+    )
+
+    def marked(terms: Column, tf: int, df: int) -> Column:
+        return F.transform(
+            terms, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
+        )
+
+    both = F.concat(marked(F.col("_terms"), 1, 0), marked(F.array_distinct("_terms"), 0, 1))
+    return found.select(F.inline(both)).groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def most_frequent(frequencies: DataFrame, settings: TermSettings | None = None) -> DataFrame:
     """(term, tf, df) of the most frequent terms that enough posts contain.
 
     The cut-off frequency is found first (its pass reuses the shuffle by term), so the final order
     takes few more terms than it keeps.
     """
     settings = settings or DEFAULT.terms
-    frequencies = (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
-        .where(F.col("df") >= settings.min_df)
-    )
+    frequencies = frequencies.where(F.col("df") >= settings.min_df)
     reached = at_or_above_cut(frequencies, F.col("tf"), settings.max_features)
     return reached.orderBy(F.desc("tf"), F.asc("term")).limit(settings.max_features)
 
 
+def vocabulary_of(counts: DataFrame, settings: TermSettings | None = None) -> DataFrame:
+    """The vocabulary of terms that are already counted per post."""
+    frequencies = counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return most_frequent(frequencies, settings)
+
+
 def tfidf(
     posts: DataFrame,
     settings: TermSettings | None = None,
@@ -102,7 +130,8 @@ def tfidf(
     """
     settings = settings or DEFAULT.terms
     counts = term_counts(posts, settings, text, post_id, stop_words)
-    fitted = Scratch(posts.sparkSession, "terms").put(vocabulary_of(counts, settings), "vocabulary")
+    vocabulary = most_frequent(term_frequencies(posts, settings, text, post_id, stop_words), settings)
+    fitted = Scratch(posts.sparkSession, "terms").put(vocabulary, "vocabulary")
     n_bytes = fitted.agg(F.sum(F.octet_length("term"))).first()[0] or 0
     n_posts = posts.agg(F.count(F.lit(1))).scalar()
     idf = fitted.where(n_posts >= 2).select(

@@ -271,7 +271,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = given.article_posts(spark, sf_dir)
-    return terms.vocabulary_of(terms.term_counts(posts, text="content"))
+    return terms.most_frequent(terms.term_frequencies(posts, text="content"))
 
 
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from murmuration.config import TermSettings
 from murmuration.operators import terms
 
@@ -38,6 +40,14 @@ def test_vocabulary_needs_two_posts_and_is_capped_by_frequency(spark):
     assert [tuple(r) for r in vocab.collect()] == [("aa", 3, 2), ("bb", 3, 3)]
 
 
+def test_frequencies_need_no_shuffle_by_post(spark, plan_of):
+    df = texts(spark, "aa aa bb cc", "aa bb dd", "bb ee", "")
+    found = terms.term_frequencies(df)
+    counted = terms.term_counts(df).groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    assert plan_of(found).count("Exchange") == 1
+    assert sorted(found.collect()) == sorted(counted.collect())
+
+
 def test_weights_have_unit_length_and_smoothed_idf(spark):
     df = texts(spark, "aa aa bb", "aa bb bb", "aa zz")
     weights = {
