@@ -3,7 +3,8 @@
 A document is a bag of sentences. A sentence is offending with probability
 sigmoid(bias + weights of its words), a document is toxic if at least one is: noisy-or,
 1 - product(1 - p). Weights are learned from document labels alone; the sentences' own
-probabilities then tell where the offence stands.
+probabilities then tell where the offence stands. A document's score counts what its words add to the
+bias: a sentence without telling words adds nothing, so length alone makes no document toxic.
 
 A word contributes its own weight and those of its beginnings (4, 5 and 6 letters), hashed into
 a fixed number of weights, so that inflected forms share what is learned.
@@ -13,7 +14,7 @@ hash of the id, from training rows only (crc32 of the id modulo 3 is not 1). Eve
 
 Edge cases: a null, empty or wordless text has no sentence and scores 0; rows without id are scored and never
 learned from; repeated rows are scored alike and learned from once (of labels that differ the toxic one, of texts the
-first in code point order); without any usable label nothing is learned and all scores are low; an
+first in code point order); without any usable label nothing is learned and all scores are 0; an
 empty table gives no rows. Other columns are not read.
 """
 
@@ -148,14 +149,20 @@ class Scorer(dict):
             self[token] = found
         return found
 
-    def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    def _lifts(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """The sentences, and what the words of each add to the bias (never negative)."""
         spans = sentences(text)
-        z = np.array([sum(map(self.__getitem__, text[a:b].lower().split())) for a, b in spans]) + self.bias
-        return spans, _sigmoid(z)
+        return spans, np.array([sum(map(self.__getitem__, text[a:b].lower().split())) for a, b in spans], np.float64)
+
+    def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+        spans, lifts = self._lifts(text)
+        return spans, _sigmoid(lifts + self.bias)
 
     def score(self, text: str) -> float:
-        p = self.sentence_scores(text)[1]
-        return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0
+        """Noisy-or over the sentences, each against a sentence without telling words."""
+        lifts = self._lifts(text)[1]
+        lifts = lifts[lifts > 0]
+        return float(-np.expm1((np.logaddexp(0, self.bias) - np.logaddexp(0, self.bias + lifts)).sum())) if len(lifts) else 0.0
 
 
 class Model:
