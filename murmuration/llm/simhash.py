@@ -10,7 +10,7 @@ shard becomes a BK-tree: a node's children are keyed by their Hamming distance t
 at distance d from a node only follows edges from d - radius to d + radius. Trees grow with
 the corpus, so they are not broadcast as a whole: a task builds and queries the trees of its own shards,
 and a shard with too many fingerprints is cut into parts, whose trees are
-visited by the queries of each part. All trees of a task are built and walked level by level
+visited by the queries of each part, one pair of parts at a time. All trees of a task are built and walked level by level
 with array operations.
 
 A task reports a star for each cluster of a shard, never its pairs. Components of the
@@ -148,12 +148,14 @@ def _joined(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             parent = up
 
 
-def star_links(groups: np.ndarray, parts: np.ndarray, prints: np.ndarray, stays: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def star_links(groups: np.ndarray, parts: np.ndarray, prints: np.ndarray, stays: np.ndarray, radius: int, asking: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that join, within each group, all fingerprints within the radius.
 
-    Rows with ``stays`` make up the trees; the others only query them.
+    Rows with ``stays`` make up the trees; the others only query them. Rows not ``asking`` (all ask if it
+    is not given) do not query.
     """
     order = np.lexsort((prints, ~stays, parts, groups))
+    asking = np.ones(len(prints), bool) if asking is None else asking[order]
     groups, parts, prints, stays = groups[order], parts[order], prints[order], stays[order]
     whole = np.r_[0, np.cumsum((groups[1:] != groups[:-1]) | (parts[1:] != parts[:-1]))] if len(groups) else groups
     in_tree = np.flatnonzero(stays)
@@ -161,7 +163,7 @@ def star_links(groups: np.ndarray, parts: np.ndarray, prints: np.ndarray, stays:
     root = np.full(int(whole[-1]) + 1 if len(whole) else 0, -1, np.int64)
     root[whole[in_tree]] = forest.roots
     starts = root[whole]
-    asks = np.flatnonzero(starts >= 0)
+    asks = np.flatnonzero((starts >= 0) & asking)
     size = np.bincount(whole[in_tree], minlength=len(root))[whole[asks]]
     parent = np.arange(len(prints))
     at = 0
@@ -178,19 +180,23 @@ def star_links(groups: np.ndarray, parts: np.ndarray, prints: np.ndarray, stays:
 
 def link_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Stars (a, b) that connect all distinct fingerprints (column fp) within the radius."""
-    n = prints.count()
     schema = "a long, b long"
     cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.expr(f"shiftrightunsigned(fp, {s}) & {(1 << b) - 1}L").alias("value")) for i, (s, b) in enumerate(bands(radius))])
     dealt = prints.select("fp", F.explode(cuts).alias("c")).select("fp", "c.band", "c.value")
-    # a shard with more than TREE_NODES is cut into parts; each part's rows also query the later parts
-    sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a shard with more than TREE_NODES is cut into parts; a group is one part's tree and the queries of that part or of an earlier one
+    sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.withColumn("parts", F.ceil(F.col("n") / TREE_NODES).cast("int"))
+    total = sizes.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0
     own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int")
+    tree, asker = F.greatest("own", "other").cast("long"), F.least("own", "other").cast("long")
     rows = (
-        dealt.join(sizes, ["band", "value"])
+        dealt.join(sizes.where("n > 1"), ["band", "value"])
         .withColumn("own", own)
-        .withColumn("part", F.explode(F.sequence(F.col("own"), F.col("parts") - 1)))
-        .select("fp", F.xxhash64("band", "value").alias("shard"), "part", (F.col("own") == F.col("part")).alias("stays"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "fp", F.xxhash64("band", "value").alias("shard"), (F.shiftright(tree * (tree + 1), 1) + asker).alias("part"),
+            (F.col("own") == tree).alias("stays"), (F.col("own") == asker).alias("asks"),
+        )
     )
 
     def walk(batches):
@@ -198,10 +204,10 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         if not table.num_rows:
             return
         column = lambda name: table.column(name).to_numpy()
-        a, b = star_links(column("shard"), column("part"), column("fp").view(np.uint64), column("stays").astype(bool), radius)
+        a, b = star_links(column("shard"), column("part"), column("fp").view(np.uint64), column("stays").astype(bool), radius, column("asks").astype(bool))
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    tasks = max(1, -(-n * (radius + 1) // TASK_NODES))
+    tasks = max(1, -(-total // TASK_NODES))
     return rows.repartition(tasks, "shard", "part").mapInArrow(walk, schema)
 
 
