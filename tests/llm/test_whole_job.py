@@ -1,8 +1,10 @@
 """Places where an operator once did less than the whole job."""
 
 import numpy as np
+from tokenizers import Tokenizer
 
 from murmuration.llm import simhash, toxicity
+from murmuration.llm.tokens import Encoder
 
 
 def test_long_clean_documents_are_not_toxic(documents, spark):
@@ -49,3 +51,12 @@ def test_a_hot_shard_is_cut_for_queries_too(spark, monkeypatch, tmp_path):
 
     near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
     assert components((r.a, r.b) for r in links) == components((int(prints.view(np.int64)[i]), int(prints.view(np.int64)[j])) for i, j in zip(*near.nonzero()) if i < j)
+
+
+def test_a_special_string_in_a_text_is_ordinary_pieces(bpe):
+    """The difference from the untouched library that the README states."""
+    ids = lambda text: np.frombuffer(Encoder(bpe).encode(text), "<u4").tolist()
+    library = Tokenizer.from_file(bpe)
+    assert 50256 in library.encode("a <|endoftext|> b", add_special_tokens=False).ids and 50256 not in ids("a <|endoftext|> b")
+    for text in ("a  b\n c's 漢字 1.", " <|endoftext|", "plain text"):
+        assert ids(text) == library.encode(text, add_special_tokens=False).ids
