@@ -7,7 +7,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
@@ -29,10 +29,23 @@ def once_per_worker(key: tuple, make):
     kept = sys.__dict__.setdefault("_murmuration_kept", {})
     if key not in kept:
         kept.clear()
+        give_back()
         kept[key] = make()
     return kept[key]
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Send rows to Python in batches of a few megabytes, unless the session names a size itself: texts have no
+    common length, so a number of rows bounds nothing. A longer text is a batch of its own."""
+    sized = "spark.murmuration.batchBytes"
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "67108864b", "64MB", "67108864", spark.conf.get(sized, None)):
+        spark.conf.set(_BATCH_BYTES, size)
+        spark.conf.set(sized, size)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, token_output, toxicity
+from murmuration.llm import chat, fingerprints, mixing, packing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_output, toxicity
 from murmuration.sources.scratch import Scratch
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(_documents(spark, sf_dir), rewrite=periodic_runs.with_trial_period))
+
+
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -77,10 +81,12 @@ REGISTRY = {
     "op8_sharding": op8_sharding,
     "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.QUALITY_SQL,
     "op9_chat": chat.CHAT_SQL,
     "op10_mixing": mixing.MIX_SQL,
+    "op11_periodic_runs": periodic_runs.RUNS_SQL,
 }
