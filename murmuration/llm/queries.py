@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, fingerprints, mixing, packing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_output, toxicity
+from murmuration.llm import chat, fingerprints, mixing, packing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_output, topk_search, toxicity
 from murmuration.sources.scratch import Scratch
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +70,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(_documents(spark, sf_dir), rewrite=periodic_runs.with_trial_period))
 
 
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -82,6 +86,7 @@ REGISTRY = {
     "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_topk_search": op12_topk_search,
 }
 
 ORACLES = {
@@ -89,4 +94,5 @@ ORACLES = {
     "op9_chat": chat.CHAT_SQL,
     "op10_mixing": mixing.MIX_SQL,
     "op11_periodic_runs": periodic_runs.RUNS_SQL,
+    "op12_topk_search": topk_search.TOPK_SQL,
 }
