@@ -6,8 +6,8 @@ packed on its own: in falling length, a piece goes to the first open sequence wi
 A tournament tree over the rooms left finds that sequence in logarithmic time.
 
 Edge cases: a null text counts as empty and is packed as its end id alone; a document
-without id is packed like any other; repeated rows are packed once each; an empty table
-gives no rows. Other columns of the input are not read.
+without id is packed like any other; repeated rows are packed once each; a text of any length is cut into as many pieces as
+it needs; the string of a special token becomes that token; an empty table gives no rows. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import sliced, texts_of
-from murmuration.llm.tokens import encoder
+from murmuration.llm.common import bounded_batches, sliced, texts_of
+from murmuration.llm.tokens import encoder, with_end
 from murmuration.sources.scratch import Scratch
 
 CAPACITY = 1024
@@ -66,25 +66,29 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     ``nth`` numbers the pieces of a task. ``with_ids`` adds the ids themselves, four
     little-endian bytes each.
     """
-    end = end_id.to_bytes(4, "little")
     schema = _PIECE + (", ids binary" if with_ids else "")
-    step = 4 * capacity
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def cut(batches):
         encode, nth = encoder(tokenizer).encode, 0
         for batch in sliced(batches):
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                ids = encode(text) + end
-                for at in range(0, len(ids), step):
-                    piece = ids[at : at + step]
-                    rows.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, nth, piece)[: 6 + with_ids])
-                    nth += 1
-            columns = list(zip(*rows, strict=True)) or [[]] * (6 + with_ids)
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth", "ids"][: 6 + with_ids]
-            kinds = [pa.int64()] * 6 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names)
-
+            doc_ids = batch.column("doc_id")
+            ids, tokens = with_end(*encode(texts_of(batch)), end_id)
+            pieces = -(-tokens // capacity)  # of each document, all full but the last
+            document = np.repeat(np.arange(len(tokens)), pieces)
+            start = capacity * (np.arange(len(document)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+            length = np.minimum(capacity, tokens[document] - start)
+            raw = memoryview(ids.astype("<u4").tobytes())
+            at = 4 * (np.repeat(np.cumsum(tokens) - tokens, pieces) + start)
+            held = [raw[a:b] for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+            crc = pa.array(map(zlib.crc32, held), pa.int64())
+            columns = [doc_ids.take(pa.array(document)), pa.array(start), pa.array(length), crc, pa.array(tokens[document]), pa.array(nth + np.arange(len(document)))]
+            if with_ids:
+                columns.append(pa.array(map(bytes, held), pa.binary()))
+            nth += len(document)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, schema)
 
 

@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, fingerprints, mixing, packing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_output, topk_search, toxicity
+from murmuration.llm import alignment, chat, fingerprints, mixing, packing, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_output, topk_search, toxicity
 from murmuration.sources.scratch import Scratch
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,10 @@ def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_documents(spark, sf_dir), BPE, PIECES)
+
+
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -87,6 +92,7 @@ REGISTRY = {
     "op10_mixing": op10_mixing,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_topk_search": op12_topk_search,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES = {

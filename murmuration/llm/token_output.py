@@ -11,7 +11,8 @@ Files are a Parquet table of segments, written through Spark so that any file sy
 reaches will do. Parts are ranges of doc_id in ascending order.
 
 Edge cases: a null text counts as empty (only its end id is written); documents without
-id come first; documents with equal ids are ordered by text; an empty table gives no rows.
+id come first; documents with equal ids are ordered by text; a longer text has a segment for itself; the string of a special
+token becomes that token; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import sliced, texts_of
-from murmuration.llm.tokens import encoder
+from murmuration.llm.common import bounded_batches, sliced, texts_of
+from murmuration.llm.tokens import encoder, with_end
 
 # Ids per word and bits per id, by selector; selector 1 is the escape.
 COUNTS = (240, 1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -167,32 +168,39 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     Rows: part, seq (segment within the part), n_docs, n_ids, first (ids of the part
     before it) and payload.
     """
-    end = end_id.to_bytes(4, "little")
+    kinds = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first", pa.int64()), ("payload", pa.binary())])
 
     def write(batches):
         encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
-        seq, first, names, parts, held = 0, 0, [], [], 0
+        seq, first, names, lengths, parts = 0, 0, [], [], []
 
         def segment():
-            ids = np.frombuffer(b"".join(parts), "<u4").astype(np.uint64)
-            payload = pack_segment(names, [len(p) // 4 for p in parts], ids)
-            return pa.RecordBatch.from_pydict(
-                {"part": [part], "seq": [seq], "n_docs": [len(names)], "n_ids": [len(ids)], "first": [first], "payload": [payload]},
-                schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first", pa.int64()), ("payload", pa.binary())]),
-            )
+            ids = np.concatenate(parts)
+            payload = pack_segment(names, lengths, ids.astype(np.uint64))
+            return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "n_docs": [len(names)], "n_ids": [len(ids)], "first": [first], "payload": [payload]}, schema=kinds)
 
         for batch in sliced(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                ids = encode(text) + end
-                if names and held + len(ids) // 4 > segment_ids:
+            doc_ids = batch.column("doc_id").to_pylist()
+            ids, counts = with_end(*encode(texts_of(batch)), end_id)
+            ends = np.cumsum(counts)
+            low = 0
+            while low < len(counts):
+                # as many documents as the segment still has room for
+                done = int(ends[low - 1]) if low else 0
+                high = int(np.searchsorted(ends, done + segment_ids - sum(lengths), side="right"))
+                if high <= low and names:
                     yield segment()
-                    seq, first, names, parts, held = seq + 1, first + held, [], [], 0
-                names.append(doc_id)
-                parts.append(ids)
-                held += len(ids) // 4
+                    seq, first, names, lengths, parts = seq + 1, first + sum(lengths), [], [], []
+                    continue
+                high = max(high, low + 1)
+                names += doc_ids[low:high]
+                lengths += counts[low:high].tolist()
+                parts.append(ids[done : int(ends[high - 1])])
+                low = high
         if names:
             yield segment()
 
+    bounded_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = plain.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(write, "part int, seq int, n_docs long, n_ids long, first long, payload binary").write.parquet(path)

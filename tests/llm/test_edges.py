@@ -1,14 +1,12 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import numpy as np
-import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from murmuration.llm import chat, fingerprints, mixing, packing, quality_rules, sharding, simhash, substring_dedup, token_output, toxicity
 from murmuration.llm.components import connected_components
-from murmuration.llm.tokens import Encoder
 from murmuration.sources.scratch import Scratch
 
 
@@ -142,13 +140,6 @@ def test_simple8b_round_trip(ids):
     assert (segment.ids() == ids).all() and segment.doc_ids == [None]
 
 
-@given(st.text(alphabet=st.sampled_from(" \t\n\r ab'sZé漢1.,! \x1c<|endoftext|>"), max_size=40))
-@settings(max_examples=300, deadline=None)
-def test_cached_pieces_give_the_library_s_ids(text):
-    encoder = test_cached_pieces_give_the_library_s_ids.__dict__.setdefault("e", Encoder(public_tokenizers.path("byte_bpe_50k.json")))
-    assert encoder.encode(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-
 def test_sharding(awkward):
     found = both(awkward, lambda d: sharding.shard(d, shards=3))
     assert len(found) == 12

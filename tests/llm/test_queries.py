@@ -28,7 +28,7 @@ def rows(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     names = [d[0] for d in cursor.description]
