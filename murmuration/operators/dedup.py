@@ -2,28 +2,35 @@
 
 Near duplicates are removed by the greedy rule "walk the posts from the most to
 the least engaging and keep one unless it shares a band with a kept post". The
-kept posts are the lexicographically first maximal independent set of the
-collision graph, which rounds of grouped minima compute exactly: a post that
-leads all its buckets is kept, whatever shares a bucket with it is dropped, and
-the rest goes to the next round. No pairs are formed, so a bucket with a third
-of all posts costs one partial minimum per task and one narrow leader row per salt.
+walk only needs the posts that share a bucket with another one, and it can be made
+in each connected component of the collision graph alone. A component with more posts
+than one task should walk is walked in batches of rising rank: the outcome for the first posts
+does not depend on later ones, these drop what collides with the kept ones, and what is left falls
+into components anew. So the jobs grow with the logarithm of the longest chain of
+collisions, and with a component's size over the batch, but never with the length of a chain itself.
+No pairs are formed: components come from one edge per entry, to the leader of its bucket.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuration.config import DEFAULT, NearDuplicateSettings
 from murmuration.functions import minhash, text
+from murmuration.operators import similarity
+from murmuration.operators.components import connected_components
 from murmuration.sources.scratch import Scratch
 
 log = logging.getLogger(__name__)
 
-# Entries of a bucket meet its leader in this many parts, whatever the bucket's size.
-SALTS = 8
+# Entries of a bucket that meet its leader in one part; a larger bucket is dealt into more.
+PART_ENTRIES = 50_000
+# Posts that one task walks through, in order of rank.
+WALK_POSTS = 100_000
 
 
 def exact_dedup(
@@ -75,17 +82,6 @@ def signatures(posts: DataFrame, keep: list[str], perms: int, k: int | None = No
     return hashed.groupBy(*keep).agg(*minima)
 
 
-def _rank(ts: str | None, post_id: str) -> Column:
-    """Ordering of posts: engagement descending (none comes last), then oldest, then id."""
-    when = F.col(ts) if ts else F.lit(None).cast("timestamp")
-    return F.struct(
-        F.col("engagement_score").isNull().alias("unknown"),
-        F.negative(F.col("engagement_score").cast("bigint")).alias("down"),
-        when.alias("ts"),
-        F.col(post_id).alias("id"),
-    )
-
-
 def banded_texts(
     posts: DataFrame,
     settings: NearDuplicateSettings | None = None,
@@ -105,7 +101,7 @@ def banded_texts(
     best = (
         with_comparable_text(posts.where(F.col("content").isNotNull() & F.col(post_id).isNotNull()))
         .select(F.md5(F.col("comparable").cast("binary")).alias("text_key"), "comparable",
-                _rank(ts, post_id).alias("rank"))
+                similarity.rank(ts, post_id).alias("rank"))
         .groupBy("text_key")
         .agg(F.min(F.struct("rank", "comparable")).alias("best"))
         .select("text_key", F.col("best.rank").alias("rank"),
@@ -132,13 +128,17 @@ def bucket_leaders(entries: DataFrame) -> DataFrame:
 
 
 def _attach(entries: DataFrame, per_bucket: DataFrame) -> DataFrame:
-    """Inner join of entries with the rows of their bucket, in salted parts.
+    """Inner join of entries with the rows of their bucket, which name its ``members``.
 
-    The narrow rows of ``per_bucket`` are repeated once per salt, so no bucket's
-    entries meet in a single task.
+    A bucket is dealt into as many parts as its size asks for, so its entries do not meet in
+    a single task, however large its share. Only the narrow rows of large buckets are repeated, and only
+    those are looked up before.
     """
-    salted = entries.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    repeated = per_bucket.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = F.ceil(F.col("members") / PART_ENTRIES).cast("int")
+    large = per_bucket.where(F.col("members") > PART_ENTRIES).select("bucket", parts.alias("_parts"))
+    salt = F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1))).cast("int")
+    salted = entries.join(large, "bucket", "left").withColumn("_salt", salt).drop("_parts")
+    repeated = per_bucket.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return salted.join(repeated, ["bucket", "_salt"]).drop("_salt")
 
 
@@ -164,37 +164,106 @@ def lsh_candidates(
     )
 
 
-def _dropped_texts(scratch: Scratch, entries: DataFrame) -> DataFrame | None:
-    """Ids of texts that collide with a kept one; None when nothing collides."""
-    spark = scratch.spark
+def _walked(posts: DataFrame, threshold: float | None) -> DataFrame:
+    """(id, kept, buckets, shingles) by the sequential rule, for each component on its own.
+
+    Rows stream through a task by component and rank; it remembers the kept posts of one component only.
+    With a threshold a post is dropped only if a kept post in one of its buckets is that similar to it.
+    """
+
+    def walk(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def similar(a, b):
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            return both >= threshold * (len(a) + len(b) - both)
+
+        component, taken = None, {}
+        for batch in batches:
+            kept = []
+            shingles = batch.column("shingles").to_pylist() if threshold is not None else [None] * len(batch)
+            for own, buckets, words in zip(batch.column("component").to_pylist(), batch.column("buckets").to_pylist(), shingles, strict=True):
+                if own != component:
+                    component, taken = own, {}
+                words = np.array(words, np.int64) if words is not None else None
+                rivals = [r for b in buckets for r in taken.get(b, ())]
+                lost = bool(rivals) if threshold is None else any(similar(words, r) for r in rivals)
+                kept.append(not lost)
+                if not lost:
+                    for b in buckets:
+                        taken.setdefault(b, []).append(words)
+            columns = [batch.column("id"), pa.array(kept, pa.bool_()), batch.column("buckets"), batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "kept", "buckets", "shingles"])
+
+    schema = posts.select("id", F.lit(True).alias("kept"), "buckets", "shingles").schema
+    ordered = posts.repartition("component").sortWithinPartitions("component", "rank")
+    return ordered.select("component", "id", "buckets", "shingles").mapInArrow(walk, schema)
+
+
+def _first_batch(posts: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
+    """The ``posts`` (with a component) next to ``now``: whether the post is in its component's first batch.
+
+    A component of up to WALK_POSTS is a batch of its own. A larger one is dealt into parts by a hash; the lowest of the ranks
+    that stand at the same place in each part bounds a batch of at most WALK_POSTS, without ordering the component as a whole.
+    """
+    large = posts.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WALK_POSTS)
+    large = large.select("component", F.ceil(F.col("n") / WALK_POSTS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(round_no)), F.col("parts"))
+    in_part = Window.partitionBy("component", "part").orderBy("rank")
+    placed = posts.join(large, "component").withColumn("part", part).withColumn("nth", F.row_number().over(in_part))
+    ends = placed.where(F.col("nth") == F.greatest(F.lit(1), F.floor(F.lit(WALK_POSTS) / F.col("parts"))))
+    ends = scratch.put(ends.groupBy("component").agg(F.min("rank").alias("end")), f"ends-{round_no}")
+    return posts.join(ends, "component", "left").withColumn("now", F.coalesce(F.col("rank") <= F.col("end"), F.lit(True))).drop("end")
+
+
+def _dropped_texts(scratch: Scratch, entries: DataFrame, threshold: float | None = None, sets: Callable | None = None) -> DataFrame | None:
+    """Ids of texts that collide with a kept one; None when nothing collides.
+
+    With a ``threshold`` a collision counts only if the shingle sets are that similar; ``sets`` gives them (id, shingles) for
+    a table of ids.
+    """
     shared = scratch.put(bucket_leaders(entries).where("members > 1"), "shared")
     if shared.isEmpty():
         return None
-    # Entries alone in their bucket constrain nobody: only shared buckets go into the rounds.
-    live = scratch.put(_attach(entries, shared).select("bucket", "id", "rank"), "live-0")
-    decided = []
-    round_no = 0
-    while not live.isEmpty():
-        leaders = bucket_leaders(live)
-        if round_no:
-            leaders = scratch.put(leaders, f"leaders-{round_no}")
+    # Entries alone in their bucket constrain nobody: only posts in shared buckets are walked.
+    live = _attach(entries, shared).groupBy("id", "rank").agg(F.collect_list("bucket").alias("buckets"))
+    if sets is None:
+        live = live.withColumn("shingles", F.lit(None).cast("array<bigint>"))
+    else:
+        live = scratch.put(live, "colliding")
+        live = live.join(sets(live.select("id")), "id")
+    live = scratch.put(live, "live-0")
+    decided, round_no = [], 0
+    while True:
+        n = live.count()
+        if n <= WALK_POSTS:
+            posts = live.withColumn("component", F.lit(None).cast(live.schema["id"].dataType)).withColumn("now", F.lit(True))
         else:
-            leaders = shared
-        leads = _attach(live, leaders).select(
-            "bucket", "id", (F.col("rank") == F.col("leader")).alias("leads")
-        )
-        kept = leads.groupBy("id").agg(F.min("leads").alias("kept")).where("kept").select("id")
-        kept = scratch.put(kept, f"kept-{round_no}")
-        closed = live.join(kept, "id", "left_semi").select("bucket", F.col("id").alias("by"))
-        lost = (
-            _attach(live, closed).where(F.col("id") != F.col("by")).select("id").distinct()
-        )
-        lost = scratch.put(lost, f"lost-{round_no}")
-        decided.append(scratch.at(f"lost-{round_no}"))
-        log.info("near-dup round %d decided %d kept and %d dropped texts", round_no, kept.count(), lost.count())
+            own = live.select(F.explode("buckets").alias("bucket"), "id", "rank")
+            edges = _attach(own, scratch.put(bucket_leaders(own), f"leaders-{round_no}")).select(F.col("id").alias("a"), F.col("leader.id").alias("b"))
+            named = connected_components(edges, scratch, f"components-{round_no}").withColumnRenamed("node", "id")
+            posts = live.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            posts = _first_batch(scratch.put(posts, f"posts-{round_no}"), scratch, round_no)
+        walked = scratch.put(_walked(posts.where("now"), threshold), f"walked-{round_no}")
+        decided.append(walked.where(~F.col("kept")).select("id"))
+        if n <= WALK_POSTS:
+            break
+        later = posts.where(~F.col("now")).drop("component", "now")
+        kept = walked.where("kept").select(F.explode("buckets").alias("bucket"), F.col("shingles").alias("theirs"))
+        met = later.select("id", "shingles", F.explode("buckets").alias("bucket")).join(kept, "bucket")
+        if threshold is not None:
+            both = F.size(F.array_intersect("shingles", "theirs"))
+            met = met.where(both >= threshold * (F.size("shingles") + F.size("theirs") - both))
+        lost = scratch.put(met.select("id").distinct(), f"lost-{round_no}")
+        decided.append(lost)
+        log.info("near-dup batch %d: %d posts were open, %d fell to kept ones of the batch", round_no, n, lost.count())
         round_no += 1
-        live = scratch.put(live.join(kept.unionByName(lost), "id", "left_anti"), f"live-{round_no}")
-    return spark.read.schema("id string").parquet(*decided)
+        live = scratch.put(later.join(lost, "id", "left_anti"), f"live-{round_no}")
+    dropped = decided[0]
+    for more in decided[1:]:
+        dropped = dropped.unionByName(more)
+    return dropped
 
 
 def near_duplicate_dedup(
@@ -204,13 +273,16 @@ def near_duplicate_dedup(
     settings: NearDuplicateSettings | None = None,
     ts: str | None = "timestamp",
     post_id: str = "post_id",
+    verify: bool = False,
 ) -> DataFrame:
     """Posts without near duplicates; the most engaging copy stays.
 
-    Needs unique ids. Posts without content or id have no duplicates and stay. Runs jobs while it is called (some per round);
+    Needs unique ids. With ``verify`` a post is dropped only if its shingles are exactly as similar to those of a kept post
+    in one of its buckets as the threshold asks; by default a common bucket is enough.
+    Posts without content or id have no duplicates and stay. Runs jobs while it is called;
     every intermediate table lies in the shared scratch folder, so a lost
-    executor costs a task and not the rounds before. ``posts`` is read twice
-    and must be the same both times.
+    executor costs a task and not the steps before. ``posts`` is read several times
+    and must be the same each time.
     """
     base = settings or DEFAULT.near_dup
     settings = NearDuplicateSettings(
@@ -220,8 +292,13 @@ def near_duplicate_dedup(
     )
     work = Scratch(posts.sparkSession, "near-dup-work")
     banded = work.put(banded_texts(posts, settings, ts, post_id), "banded")
+
+    def sets(ids: DataFrame) -> DataFrame:
+        own = posts.join(ids, F.col(post_id) == F.col("id"), "left_semi").withColumnRenamed(post_id, "id")
+        return similarity.shingle_hashes(with_comparable_text(own), ["id"], settings.shingle_words).select("id", "shingles")
+
     kept = banded.select("id")
-    dropped = _dropped_texts(work, bucket_entries(banded))
+    dropped = _dropped_texts(work, bucket_entries(banded), *((settings.threshold, sets) if verify else ()))
     if dropped is not None:
         kept = kept.join(dropped, "id", "left_anti")
     # Only the kept ids outlive the call; the larger work tables go at once.

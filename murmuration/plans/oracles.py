@@ -218,11 +218,11 @@ entries AS (
   FROM firsts f JOIN signed USING (post_id))"""
 
 
-def _near(source: str, layout: tuple[int, int] = SIGNATURE) -> str:
+def _rounds(entries: str) -> str:
     """Rounds of the greedy rule: keep what leads all its buckets, drop what it collides with."""
-    return f"""{_entries(source, layout)},
+    return f"""
 rounds AS (
-  SELECT post_id, pos, bucket, 'open' AS state FROM entries
+  SELECT post_id, pos, bucket, 'open' AS state FROM {entries}
   UNION ALL
   SELECT post_id, pos, bucket, CASE WHEN kept THEN 'kept' WHEN lost THEN 'lost' ELSE 'open' END
   FROM (
@@ -234,6 +234,35 @@ rounds AS (
 near_kept AS (SELECT DISTINCT post_id FROM rounds WHERE state = 'kept')"""
 
 
+def _near(source: str, layout: tuple[int, int] = SIGNATURE) -> str:
+    return f"{_entries(source, layout)}, {_rounds('entries')}"
+
+
+def _overlaps(source: str) -> str:
+    """Jaccard similarity of all pairs of texts that share a shingle."""
+    return f"""
+own_sets AS (SELECT DISTINCT s.post_id, s.shingle FROM shingle_sets s SEMI JOIN {source} f ON s.post_id = f.post_id),
+set_sizes AS (SELECT post_id, count(*) AS n FROM own_sets GROUP BY post_id),
+alike AS (
+  SELECT o.a, o.b, o.k / (x.n + y.n - o.k)::DOUBLE AS jaccard
+  FROM (SELECT p.post_id AS a, q.post_id AS b, count(*) AS k FROM own_sets p JOIN own_sets q ON p.shingle = q.shingle AND p.post_id < q.post_id GROUP BY p.post_id, q.post_id) o
+  JOIN set_sizes x ON x.post_id = o.a JOIN set_sizes y ON y.post_id = o.b)"""
+
+
+def _verified(source: str, layout: tuple[int, int]) -> str:
+    """The greedy rule where only similar texts of a common bucket collide: each such pair is a bucket of its own."""
+    return f"""{_entries(source, layout)}, {_overlaps('firsts')},
+near AS (
+  SELECT DISTINCT e.post_id AS one, e.pos AS one_pos, f.post_id AS two, f.pos AS two_pos
+  FROM entries e JOIN entries f ON e.bucket = f.bucket AND e.pos < f.pos
+  JOIN alike o ON o.a = least(e.post_id, f.post_id) AND o.b = greatest(e.post_id, f.post_id) WHERE o.jaccard >= 0.8),
+near_entries AS (
+  SELECT one AS post_id, one_pos AS pos, one_pos || ':' || two_pos AS bucket FROM near
+  UNION ALL SELECT two, two_pos, one_pos || ':' || two_pos FROM near
+  UNION ALL SELECT post_id, pos, 'own:' || pos FROM firsts),
+{_rounds('near_entries')}"""
+
+
 _STOP = ", ".join(f"'{w}'" for w in sorted(ENGLISH))
 _TOKENS = rf"""
 {_ARTICLES},
@@ -385,6 +414,15 @@ ORACLES: dict[str, str] = {
     "near_dedup_080": f"""
         WITH RECURSIVE {_ARTICLES}, {_near('articles', LOOSE_SIGNATURE)}
         SELECT post_id, engagement_score FROM articles SEMI JOIN near_kept USING (post_id)""",
+    "near_dedup_verified": f"""
+        WITH RECURSIVE {_ARTICLES}, {_verified('articles', LOOSE_SIGNATURE)}
+        SELECT post_id, engagement_score FROM articles
+        WHERE post_id IN (SELECT post_id FROM near_kept)""",
+    "jaccard_pairs": f"""
+        WITH {_ARTICLES}, {_entries('articles', LOOSE_SIGNATURE)}, {_overlaps('firsts')},
+        copied AS (SELECT f.post_id, count(*) AS copies FROM ranked r JOIN ranked f USING (comparable) SEMI JOIN firsts ON f.post_id = firsts.post_id GROUP BY f.post_id)
+        SELECT a AS left_id, b AS right_id, round(jaccard, 6) AS jaccard, x.copies AS left_copies, y.copies AS right_copies
+        FROM alike JOIN copied x ON x.post_id = a JOIN copied y ON y.post_id = b WHERE jaccard >= 0.8""",
     "near_dedup": f"""
         WITH RECURSIVE {_ARTICLES}, {_near('articles')}
         SELECT post_id, engagement_score FROM articles SEMI JOIN near_kept USING (post_id)""",

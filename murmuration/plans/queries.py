@@ -17,6 +17,7 @@ from murmuration.operators import (
     sampling,
     sentiment,
     signal,
+    similarity,
     terms,
 )
 from murmuration.plans.pipeline import score_posts
@@ -208,6 +209,15 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_dedup_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = given.article_posts(spark, sf_dir)
+    return dedup.near_duplicate_dedup(posts, settings=LOOSE, verify=True).select("post_id", "engagement_score")
+
+
+def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(similarity.similar_pairs(given.article_posts(spark, sf_dir), LOOSE.threshold), "jaccard")
+
+
 def two_tier_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = given.cross_posted(_posts(spark, sf_dir))
     return dedup.deduplicate(twice).select("post_id", "primary_hashtag", "engagement_score")
@@ -481,6 +491,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsh_candidates_080": lsh_candidates_080,
     "near_dedup_080": near_dedup_080,
     "near_dedup": near_dedup,
+    "near_dedup_verified": near_dedup_verified,
+    "jaccard_pairs": jaccard_pairs,
     "two_tier_dedup": two_tier_dedup,
     "nfkc": nfkc,
     "emojis": emojis,

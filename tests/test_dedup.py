@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from murmuration.functions import minhash
 from murmuration.functions.minhash import band_layout
-from murmuration.operators import dedup
+from murmuration.operators import dedup, similarity
+from murmuration.operators.components import connected_components
 from murmuration.sources.scratch import Scratch
 
 SCHEMA = "post_id string, content string, engagement_score bigint"
@@ -146,6 +147,89 @@ def test_rounds_equal_the_sequential_walk(spark, seed):
     assert run_rounds(spark, entries) == greedy(entries)
 
 
+@pytest.mark.parametrize(("walk", "part"), [(30, 7), (60, 50_000)])
+def test_batches_of_components_equal_the_sequential_walk(spark, monkeypatch, walk, part):
+    monkeypatch.setattr(dedup, "WALK_POSTS", walk)
+    monkeypatch.setattr(dedup, "PART_ENTRIES", part)
+    rng = random.Random(walk)
+    entries = set()
+    for node in range(150):
+        rank = rng.randrange(1000)
+        for band in range(3):
+            hot = band == 0 and node % 4 == 0
+            entries.add((f"{band}:hot" if hot else f"{band}:{rng.randrange(120)}", f"n{node}", rank))
+    assert run_rounds(spark, sorted(entries)) == greedy(sorted(entries))
+
+
+def test_a_chain_takes_few_jobs(spark):
+    """Post i collides with i - 1 and i + 1: every second one stays, however long the chain."""
+    entries = [(f"b{i}", f"n{i + j:05d}", i + j) for i in range(2000) for j in range(2)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    lost = run_rounds(spark, entries)
+    jobs = len(tracker.getJobIdsForGroup("chain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert lost == {f"n{i:05d}" for i in range(1, 2001, 2)} and jobs < 40
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"n{i:04d}", f"n{i + 1:04d}") for i in range(300)] + [("x", "y"), ("z", "z")], "a string, b string")
+    found = {r["node"]: r["component"] for r in connected_components(edges, Scratch(spark, "test"), max_rounds=20).collect()}
+    assert found == {f"n{i:04d}": "n0000" for i in range(301)} | {"x": "x", "y": "x"}
+
+
+def words_by_hand(text):
+    words = text.split()
+    return {" ".join(words[i : i + 3]) for i in range(len(words) - 2)} or {text}
+
+
+def near_texts(n, seed):
+    rng = random.Random(seed)
+    texts = []
+    for i in range(n):
+        words = [f"w{rng.randrange(9)}x{j}" for j in range(40)] if i % 5 == 0 or not texts else texts[-1 - rng.randrange(min(5, len(texts)))].split()
+        if i % 5:
+            words[rng.randrange(40)] = f"new{i}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_verified_near_tier_equals_the_sequential_walk(spark):
+    texts = near_texts(80, 3)
+    rows = [(f"p{i:03d}", t, (i * 37) % 50) for i, t in enumerate(texts)]
+    df = frame(spark, rows)
+    buckets = {r["id"]: set(r["buckets"]) for r in dedup.banded_texts(df, dedup.NearDuplicateSettings(threshold=0.8)).collect()}
+    kept = []
+    for i, t, _ in sorted(rows, key=lambda r: (-r[2], r[0])):
+        own = words_by_hand(t)
+        if i in buckets and not any(buckets[i] & buckets[j] and len(own & w) >= 0.8 * len(own | w) for j, w in kept):
+            kept.append((i, own))
+    found = ids(dedup.near_duplicate_dedup(df, threshold=0.8, verify=True))
+    assert found == sorted(i for i, _ in kept) and len(found) < 80
+    assert set(found) >= set(ids(dedup.near_duplicate_dedup(df, threshold=0.8)))
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_similar_pairs_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK_TEXTS", block)
+    texts = [*near_texts(60, 4), "one two", "one two", "", "...", "x y z", "x y z!"]
+    rows = [(f"p{i:03d}", t, i) for i, t in enumerate(texts)] + [(None, "no id", 1), ("q", None, 2)]
+    best = {}
+    for i, t, e in rows[: len(texts)]:
+        best.setdefault(t.strip(".!"), []).append((-e, i))
+    best = {min(v)[1]: (words_by_hand(t), len(v)) for t, v in best.items()}
+    want = {(a, b, round(len(x & y) / len(x | y), 9), m, n) for a, (x, m) in best.items() for b, (y, n) in best.items() if a < b and len(x & y) >= 0.6 * len(x | y)}
+    found = similarity.similar_pairs(frame(spark, rows), 0.6).collect()
+    assert {(*r[:2], round(r[2], 9), *r[3:]) for r in found} == want and len(found) == len(want) > 20
+    assert similarity.similar_pairs(frame(spark, [])).count() == 0
+
+
+def test_copies_of_one_text_make_no_pairs(spark):
+    rows = [(f"p{i}", "the same words in every post of them" + "!" * (i % 3), i) for i in range(300)] + [("x", "the same words in every post of us", 1)]
+    found = similarity.similar_pairs(frame(spark, rows), 0.5).collect()
+    assert [(r["left_id"], r["right_id"], r["left_copies"], r["right_copies"]) for r in found] == [("p299", "x", 300, 1)]
+
+
 def test_chain_keeps_both_ends(spark):
     entries = [("x", "a", 1), ("x", "b", 2), ("y", "b", 2), ("y", "c", 3)]
     assert run_rounds(spark, entries) == {"b"}
