@@ -11,17 +11,21 @@ from murmuration.functions import stats
 MINUTES_PER_DAY = 24 * 60
 
 
-def bucket_sentiment(
+#: What a bucket's state adds up, next to its symbol and start.
+STATE_SUMS = ("n", "total_engagement", "sw", "sws", "swss", "ss", "sss")
+
+
+def bucket_states(
     scored: DataFrame,
     settings: SignalSettings | None = None,
     symbol: str = "primary_hashtag",
     ts: str = "timestamp",
 ) -> DataFrame:
-    """One row per symbol and non-empty tumbling bucket; works on batch and stream alike.
+    """(symbol, window_start, STATE_SUMS) per symbol and non-empty tumbling bucket; works on batch and stream alike.
 
     Everything is a sum, so each task reduces its posts to one partial row per
     bucket before the only shuffle: neither a loud symbol nor a busy hour can
-    overload a task.
+    overload a task. States of the same bucket from different posts are merged by addition.
     """
     settings = settings or DEFAULT.signal
     minutes = settings.bucket_minutes
@@ -49,11 +53,22 @@ def bucket_sentiment(
             F.sum(s * s).alias("sss"),
         )
     )
+    return sums.select("symbol", F.col("_window.start").alias("window_start"), *STATE_SUMS)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per bucket out of any number of partial ones."""
+    return states.groupBy("symbol", "window_start").agg(*[F.sum(c).alias(c) for c in STATE_SUMS])
+
+
+def sentiment_of_states(states: DataFrame, settings: SignalSettings | None = None) -> DataFrame:
+    """Signal, interval and counts of whole bucket states."""
+    settings = settings or DEFAULT.signal
     weighted = F.col("sw") > 0
     n = F.col("n").cast("double")
     mean = F.when(weighted, F.col("sws") / F.col("sw")).otherwise(F.col("ss") / n)
     square = F.when(weighted, F.col("swss") / F.col("sw")).otherwise(F.col("sss") / n)
-    with_mean = sums.withColumns({"sentiment_signal": mean, "_square": square})
+    with_mean = states.withColumns({"sentiment_signal": mean, "_square": square})
     variance = F.greatest(
         F.col("_square") - F.col("sentiment_signal") * F.col("sentiment_signal"), F.lit(0.0)
     )
@@ -63,7 +78,7 @@ def bucket_sentiment(
     )
     return with_margin.select(
         "symbol",
-        F.col("_window.start").alias("window_start"),
+        "window_start",
         "sentiment_signal",
         stats.clamp_unit(F.col("sentiment_signal") - F.col("_margin")).alias("ci_lower"),
         stats.clamp_unit(F.col("sentiment_signal") + F.col("_margin")).alias("ci_upper"),
@@ -72,6 +87,16 @@ def bucket_sentiment(
     )
 
 
+def bucket_sentiment(
+    scored: DataFrame,
+    settings: SignalSettings | None = None,
+    symbol: str = "primary_hashtag",
+    ts: str = "timestamp",
+) -> DataFrame:
+    """One row per symbol and non-empty tumbling bucket; works on batch and stream alike."""
+    return sentiment_of_states(bucket_states(scored, settings, symbol, ts), settings)
+
+
 def with_volume_baseline(buckets: DataFrame, settings: SignalSettings | None = None) -> DataFrame:
     """Mean, deviation and z-score of the volume against the latest buckets of the same symbol.
 

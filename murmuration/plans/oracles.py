@@ -559,6 +559,9 @@ ORACLES: dict[str, str] = {
     "stream_signal": f"""
         WITH {_POSTS}, {_scored('posts')}, {_buckets(DEFAULT.signal, _CLOSED)}
         SELECT symbol, window_start, {_BUCKET}, tweet_count, total_engagement FROM buckets""",
+    "stream_states": f"""
+        WITH {_POSTS}, {_scored('posts')}, {_buckets(DEFAULT.signal)}
+        SELECT symbol, window_start, {_BUCKET}, tweet_count, total_engagement FROM buckets""",
     "stream_volume": f"""
         WITH {_POSTS}, {_scored('posts')}, {_signal(DAILY, _CLOSED)}
         SELECT symbol, window_start, tweet_count, {_VOLUME}, {_round('composite_score')}

@@ -434,19 +434,21 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _streamed_buckets(spark: SparkSession, sf_dir: str, settings: SignalSettings) -> str:
-    scratch = Scratch(spark, "stream-signal")
-    posts = _posts(spark, sf_dir).select(
+def _streamable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _posts(spark, sf_dir).select(
         "post_id",
         "content",
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         "primary_hashtag",
         "engagement_score",
     )
+
+
+def _streamed_buckets(spark: SparkSession, sf_dir: str, settings: SignalSettings) -> str:
     return _land_and_run(
         spark,
-        posts,
-        scratch,
+        _streamable(spark, sf_dir),
+        Scratch(spark, "stream-signal"),
         lambda stream, path, state: jobs.write_buckets(
             jobs.finalised_buckets(stream, STREAM_DELAY, settings), path, state
         ),
@@ -461,8 +463,14 @@ def stream_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = _streamed_buckets(spark, sf_dir, DAILY)
-    built = jobs.composite_of_finalised(spark, sink)
+    scratch = Scratch(spark, "stream-volume")
+    sink = _land_and_run(
+        spark,
+        _streamable(spark, sf_dir),
+        scratch,
+        lambda stream, path, state: jobs.write_composite(jobs.finalised_buckets(stream, STREAM_DELAY, DAILY), path, state, settings=DAILY),
+    )
+    built = jobs.read_composite(spark, sink)
     return _rounded(built, *_VOLUME_DOUBLES, "composite_score").select(
         "symbol",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -472,6 +480,21 @@ def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest third of the posts lands first and the oldest last: no bucket misses a post, the open one included."""
+    scratch = Scratch(spark, "stream-states")
+    posts = _streamable(spark, sf_dir)
+    cuts = posts.agg(F.percentile_approx(F.unix_micros("timestamp"), [0.33, 0.66])).scalar()
+    at = F.unix_micros("timestamp")
+    for part in (at >= cuts[1], (at >= cuts[0]) & (at < cuts[1]), at < cuts[0]):
+        posts.where(part).write.mode("append").parquet(scratch.at("landing"))
+        stream = jobs.landed(spark, scratch.at("landing"), posts.schema)
+        jobs.write_states(stream, scratch.at("sink"), scratch.at("state")).awaitTermination()
+        jobs.compact_states(spark, scratch.at("sink"))
+    buckets = jobs.current_buckets(spark, scratch.at("sink"))
+    return _rounded(buckets, *_BUCKET_DOUBLES).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_filtered": scan_filtered,
     "partition_roundtrip": partition_roundtrip,
@@ -524,4 +547,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": stream_dedup,
     "stream_signal": stream_signal,
     "stream_volume": stream_volume,
+    "stream_states": stream_states,
 }

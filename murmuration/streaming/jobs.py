@@ -8,7 +8,8 @@ pass ``{"processingTime": "1 minute"}`` to keep a job running.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -126,3 +127,104 @@ def composite_of_finalised(
     schema = signal.bucket_sentiment(spark.createDataFrame([], scored), settings).schema
     buckets = spark.read.schema(schema).parquet(path)
     return signal.with_composite(signal.with_volume_baseline(buckets, settings), settings)
+
+
+# --- sinks of micro-batches -----------------------------------------------------------------------
+#
+# A micro-batch writes only folders named after its own number and replaces what they hold, so a batch
+# that is run again after a failure changes nothing.
+
+_STATES = "symbol string, window_start timestamp, n bigint, total_engagement bigint, sw double, sws double, swss double, ss double, sss double"
+
+
+def _per_batch(stream: DataFrame, sink, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _stored(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The Parquet table at a path; no rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def add_states(batch: DataFrame, batch_id: int, path: str, settings: SignalSettings | None = None) -> None:
+    """The bucket states of one micro-batch of posts, as ``batch=<id>``; adding the same batch again replaces them."""
+    scored = sentiment.with_sentiment(cleaning.clean_posts(batch))
+    signal.bucket_states(scored, settings).write.mode("overwrite").parquet(f"{path}/states/batch={batch_id}")
+
+
+def write_states(posts: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE, settings: SignalSettings | None = None) -> StreamingQuery:
+    """Partial bucket states of a post stream, without watermark: a post that comes late, by any time, still counts in its bucket.
+
+    The stream keeps no state of its own; what grows is a table of symbols x buckets x micro-batches, which
+    ``compact_states`` reduces to symbols x buckets.
+    """
+    return _per_batch(posts, lambda batch, number: add_states(batch, number, path, settings), checkpoint, trigger)
+
+
+def _open_states(spark: SparkSession, path: str) -> tuple[DataFrame, int, int]:
+    """The states that count now, the last batch of the newest base, and the last batch of all (-1 for none)."""
+    bases = _stored(spark, f"{path}/bases", "upto bigint")
+    base = bases.agg(F.max("upto")).first()[0]
+    base = -1 if base is None else base
+    later = _stored(spark, f"{path}/states", f"{_STATES}, batch bigint").where(F.col("batch") > base)
+    last = later.agg(F.max("batch")).first()[0]
+    states = later.drop("batch")
+    if base >= 0:
+        states = states.unionByName(spark.read.schema(_STATES).parquet(f"{path}/merged/upto={base}"))
+    return states, base, base if last is None else last
+
+
+def current_buckets(spark: SparkSession, path: str, settings: SignalSettings | None = None) -> DataFrame:
+    """Signal buckets of all posts that have come so far, open ones and late corrections included."""
+    return signal.sentiment_of_states(signal.merge_states(_open_states(spark, path)[0]), settings)
+
+
+def compact_states(spark: SparkSession, path: str) -> int:
+    """Merge all states into a new base and return its last batch. Readers turn to the base once its one-row entry is there, so a
+    compaction that fails half-way is not seen; folders of merged batches may be expired by age after that."""
+    states, base, last = _open_states(spark, path)
+    if last > base:
+        signal.merge_states(states).write.mode("overwrite").parquet(f"{path}/merged/upto={last}")
+        spark.createDataFrame([(last,)], "upto bigint").coalesce(1).write.mode("append").parquet(f"{path}/bases")
+    return last
+
+
+def add_composite(buckets: DataFrame, batch_id: int, path: str, settings: SignalSettings | None = None) -> None:
+    """Baseline and composite of a micro-batch of finalised buckets, as ``signal/batch=<id>``.
+
+    A bucket's baseline needs the few buckets of its symbol before it. These are carried from batch to batch in one of three
+    small tables used in turn, each marked with its batch. So a batch reads its own buckets and these, whatever the
+    history, and a batch that is run again finds the table of the batch before it untouched.
+    """
+    settings = settings or DEFAULT.signal
+    spark = buckets.sparkSession
+    carried = T.StructType([*buckets.schema.fields, T.StructField("batch", T.LongType())])
+    slots = [_stored(spark, f"{path}/carried/slot-{k}", carried).where(F.col("batch") < batch_id) for k in range(3)]
+    seen = slots[0].unionByName(slots[1]).unionByName(slots[2])
+    newest = seen.agg(F.max("batch")).first()[0]
+    before = seen.where(F.col("batch") == F.lit(newest).cast("bigint")).drop("batch")
+    both = before.withColumn("_new", F.lit(False)).unionByName(buckets.withColumn("_new", F.lit(True)))
+    built = signal.with_composite(signal.with_volume_baseline(both, settings), settings)
+    work = f"{path}/work/slot-{batch_id % 3}"
+    built.write.mode("overwrite").parquet(work)
+    built = spark.read.schema(built.schema).parquet(work)
+    built.where("_new").drop("_new").write.mode("overwrite").parquet(f"{path}/signal/batch={batch_id}")
+    latest = Window.partitionBy("symbol").orderBy(F.desc("window_start"))
+    kept = built.withColumn("_nth", F.row_number().over(latest)).where(F.col("_nth") < settings.baseline_buckets)
+    kept.select(*buckets.columns, F.lit(batch_id).cast("bigint").alias("batch")).write.mode("overwrite").parquet(f"{path}/carried/slot-{batch_id % 3}")
+
+
+def write_composite(buckets: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE, settings: SignalSettings | None = None) -> StreamingQuery:
+    """Composite signal of a stream of finalised buckets, micro-batch by micro-batch."""
+    return _per_batch(buckets, lambda batch, number: add_composite(batch, number, path, settings), checkpoint, trigger)
+
+
+def read_composite(spark: SparkSession, path: str) -> DataFrame:
+    """The composite signal that ``write_composite`` has written so far."""
+    empty = "symbol string, window_start timestamp, sentiment_signal double, ci_lower double, ci_upper double, tweet_count bigint, total_engagement bigint, volume_rolling_mean double, volume_rolling_std double, volume_zscore double, composite_score double"
+    return _stored(spark, f"{path}/signal", f"{empty}, batch bigint").drop("batch")

@@ -51,6 +51,44 @@ def test_composite_of_an_empty_sink(spark, tmp_path):
     assert jobs.composite_of_finalised(spark, str(tmp_path / "sink")).count() == 0
 
 
+def scored_buckets(posts):
+    return {(r["symbol"], r["window_start"]): (r["tweet_count"], r["total_engagement"], round(r["sentiment_signal"], 9), round(r["ci_lower"], 9)) for r in posts.collect()}
+
+
+def test_late_posts_correct_their_buckets(spark, tmp_path):
+    """The oldest posts come last and the first file again under its own number; compaction in between changes nothing."""
+    batches = [ingest.with_engagement(delivered(spark, m)) for m in (range(200, 301), range(90, 210), range(0, 95))]
+    everything = batches[0].union(batches[1]).union(batches[2])
+    want = scored_buckets(signal.bucket_sentiment(with_sentiment(clean_posts(everything))))
+    path = str(tmp_path / "plain")
+    assert jobs.current_buckets(spark, path).count() == 0 and jobs.compact_states(spark, path) == -1
+    for number, batch in enumerate(batches):
+        jobs.add_states(batch, number, path)
+    jobs.add_states(batches[2], 2, path)  # run again
+    assert scored_buckets(jobs.current_buckets(spark, path)) == want
+    assert jobs.compact_states(spark, path) == 2
+    assert scored_buckets(jobs.current_buckets(spark, path)) == want and jobs.compact_states(spark, path) == 2
+    sink = run(spark, tmp_path, batches, lambda s, p, state: jobs.write_states(s, p, state), batches[0].schema)
+    assert scored_buckets(jobs.current_buckets(spark, sink)) == want
+
+
+def test_composite_by_batches_equals_the_whole_and_replays(spark, tmp_path):
+    posts = ingest.with_engagement(delivered(spark, range(0, 900, 2)))
+    buckets = signal.bucket_sentiment(with_sentiment(clean_posts(posts))).cache()
+    key = lambda df: sorted((r["symbol"], str(r["window_start"]), r["tweet_count"], round(r["volume_zscore"], 9), round(r["composite_score"], 9)) for r in df.collect())
+    want = key(signal.with_composite(signal.with_volume_baseline(buckets)))
+    path = str(tmp_path / "out")
+    assert jobs.read_composite(spark, path).count() == 0
+    cuts = [0, 100, 130, 500, 510, 901]
+    parts = [buckets.where((F.col("window_start") >= START + timedelta(minutes=a)) & (F.col("window_start") < START + timedelta(minutes=b))) for a, b in zip(cuts, cuts[1:])]
+    for number, part in enumerate(parts):
+        jobs.add_composite(part, number, path)
+        jobs.add_composite(part, number, path)  # run again after a failure
+    assert key(jobs.read_composite(spark, path)) == want
+    carried = spark.read.parquet(*[f"{path}/carried/slot-{k}" for k in range(3)])
+    assert carried.count() <= 3 * 7 * 2  # symbols x buckets of a baseline, not the history
+
+
 def test_dedup_across_batches(spark, tmp_path):
     batches = [delivered(spark, range(0, 30), copies=3), delivered(spark, range(25, 40), copies=2)]
     sink = run(
