@@ -4,22 +4,19 @@ from __future__ import annotations
 
 import ctypes
 import sys
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 #: ``bytes.split()`` cuts at exactly these characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: The same as a table over bytes.
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_BYTE_VALUES = np.random.default_rng(20_240_229).integers(1, 1 << 63, (2, 256), np.uint64)
-_POWERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: Bytes whose words are hashed at a time.
-_HASHED_BYTES = 250_000
+_HASHED_BYTES = 500_000
 
 
 def once_per_worker(key: tuple, make):
@@ -98,40 +95,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(encoded: list[bytes], lanes: int = 2) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words per text, and a 64-bit hash per lane of every word of all texts.
+class _Numbers(dict):
+    """Numbers words in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
-    A hash is the sum over a word's bytes of a random value of the byte times a power of an odd
-    number, scattered: array operations over the bytes, without a Python object per word.
-    """
-    counts, hashes = [np.zeros(0, np.int64)], [[np.zeros(0, np.uint64)] for _ in range(lanes)]
+
+def word_hashes(encoded: list[bytes], lanes: int = 2) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per text, and a 64-bit hash per lane of every word of all texts: the halves of a 128-bit hash of each
+    different word."""
+    counts, hashes = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.uint64)]
     first = size = 0
     for i, text in enumerate(encoded):
         size += len(text)
         if size >= _HASHED_BYTES or i == len(encoded) - 1:
-            some, found = _hashed(encoded[first : i + 1], lanes)
-            counts.append(some)
-            for kept, lane in zip(hashes, found, strict=True):
-                kept.append(lane)
+            split = [e.split() for e in encoded[first : i + 1]]
+            own = np.fromiter(map(len, split), np.int64, len(split))
+            table = _Numbers()
+            numbers = np.fromiter(map(table.__getitem__, chain.from_iterable(split)), np.int64, int(own.sum()))
+            digests = np.frombuffer(b"".join(map(xxh3_128_digest, table)), "<u8").reshape(-1, 2)
+            counts.append(own)
+            hashes.append(digests[numbers])
             first, size = i + 1, 0
-    return np.concatenate(counts), [np.concatenate(kept) for kept in hashes]
-
-
-def _hashed(encoded: list[bytes], lanes: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    flat = np.frombuffer(b" ".join([*encoded, b""]), np.uint8)
-    solid = np.flatnonzero(~_BLANK[flat])
-    if not len(solid):
-        return np.zeros(len(encoded), np.int64), [np.zeros(0, np.uint64)] * lanes
-    first = np.flatnonzero(np.r_[True, np.diff(solid) > 1])
-    sizes = np.diff(np.r_[first, len(solid)])
-    place = np.arange(len(solid)) - np.repeat(first, sizes)
-    longest = int(sizes.max())
-    out = []
-    for lane in range(lanes):
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(longest - 1, _POWERS[lane])], dtype=np.uint64)
-        values = _BYTE_VALUES[lane][flat[solid]]
-        values *= powers[place]
-        out.append(mixed(np.add.reduceat(values, first)))
-    borders = np.cumsum([len(e) + 1 for e in encoded])
-    upto = np.searchsorted(solid[first], borders)
-    return np.diff(np.r_[0, upto]).astype(np.int64), out
+    whole = np.concatenate(hashes)
+    return np.concatenate(counts), [np.ascontiguousarray(whole[:, lane]) for lane in range(lanes)]

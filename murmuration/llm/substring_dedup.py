@@ -11,7 +11,8 @@ covers is removed, in each of its places.
    what is left is one bit per counter: touched twice or more. A count-min
    estimate is the least of an anchor's counters, so it is never too low.
 2. Exact groups. A window whose anchor is estimated to be single is single. The others are
-   grouped by 128 bits of hashes of their word sequence (64 of the anchor, 64 of the window). A task reports each hash once per chunk of
+   grouped by 128 bits of hashes of their word sequence (64 of the anchor, 64 of the window), made from the halves of a
+   128-bit hash of each word. A task reports each hash once per chunk of
    documents, however often it occurs there, so that copies do not meet in one task row by row.
 3. Candidates that turn out to be single return to the chunks that hold them; the words that the
    others cover are removed. Only documents with candidates are stored with their text.
@@ -22,7 +23,7 @@ grouped exactly; the result stays the same.
 
 Edge cases: a null text counts as empty; documents of fewer words than a window lose nothing;
 a document without id is treated like any other; repeated rows are documents of their own (their windows
-repeat); an empty table gives no rows. Other columns are not read by ``remove_repeats``.
+repeat); a very long text is a chunk of its own; an empty table gives no rows. Other columns are not read by ``remove_repeats``.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import mixed, sliced, split_batches, texts_of, word_hashes
+from murmuration.llm.common import bounded_batches, mixed, sliced, split_batches, texts_of, word_hashes
 from murmuration.sources.scratch import Scratch
 
 WIDTH = 35
@@ -276,27 +277,28 @@ def window_hashes(low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
 def _single(stored: DataFrame) -> DataFrame:
     """(chunk, window): candidate windows that occur only once in all.
 
-    A window's key is its anchor's hash and its own, 64 bits each; keys travel grouped by anchor.
+    A window's key is its anchor's hash and its own, 64 bits each; both together spread the windows, so those around
+    one frequent run of words do not meet in one task.
     """
 
     def unpack(batches):
         for batch in batches:
             for chunk, anchors, sizes, windows in zip(*(batch.column(c).to_pylist() for c in ("chunk", "anchors", "sizes", "windows")), strict=True):
-                anchors = np.frombuffer(anchors, np.int64)
-                offsets = np.r_[0, np.cumsum(np.frombuffer(sizes, "<u4"))].astype(np.int32)
-                columns = [pa.array(np.full(len(anchors), chunk, np.int64)), pa.array(anchors), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(windows, np.int64)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "anchor", "windows"])
-
-    flat = stored.where("kind = 'keys'").select("chunk", "anchors", "sizes", "windows").mapInArrow(unpack, "chunk long, anchor long, windows array<long>")
-    # spread by anchor before the lists are opened; counted per chunk, so copies inside a chunk are one row
-    spread = flat.repartition("anchor").select("chunk", "anchor", F.explode("windows").alias("window"))
-    counted = spread.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"), F.first("chunk").alias("chunk"))
+                windows = np.frombuffer(windows, np.int64)
+                anchors = np.repeat(np.frombuffer(anchors, np.int64), np.frombuffer(sizes, "<u4"))
+                columns = [pa.array(np.full(len(windows), chunk, np.int64)), pa.array(anchors), pa.array(windows)]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "anchor", "window"])
+
+    flat = stored.where("kind = 'keys'").select("chunk", "anchors", "sizes", "windows").mapInArrow(unpack, "chunk long, anchor long, window long")
+    # counted per chunk, so copies inside a chunk are one row
+    counted = flat.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"), F.first("chunk").alias("chunk"))
     return counted.where("n = 1").select("chunk", "window")
 
 
 def _found(docs: DataFrame, width: int, anchor: int, max_bits: int, carry: bool) -> tuple[DataFrame, DataFrame]:
     """The stored candidates, and the result for those documents that have any."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     scratch = Scratch(spark, "substring")
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about one anchor in seven words; four counters or more for each
