@@ -4,9 +4,10 @@ A fingerprint has 64 bits: bit j is set if it is set in over half of the hashes
 text's 3-word shingles. Documents are linked if their fingerprints differ in at most
 ``radius`` bits.
 
-Distinct fingerprints are dealt into shards: a fingerprint is cut into radius + 1 bands, and
-two within the radius agree in at least one band, so a shard is one value of one band. Each
-shard becomes a BK-tree: a node's children are keyed by their Hamming distance to it. A query
+Distinct fingerprints are dealt into shards: a fingerprint is cut into twice as many blocks as the radius. Two within
+the radius differ in at most ``radius`` blocks and agree in the others, so a shard is one value of one choice of ``radius`` blocks. With
+a radius of 3 that are 20 choices of 32 bits each: each fingerprint is in 20 shards, and by chance a shard holds few, however many
+fingerprints there are. Each shard becomes a BK-tree: a node's children are keyed by their Hamming distance to it. A query
 at distance d from a node only follows edges from d - radius to d + radius. Trees grow with
 the corpus, so they are not broadcast as a whole: a task builds and queries the trees of its own shards,
 and a shard with too many fingerprints is cut into parts, whose trees are
@@ -18,19 +19,22 @@ stars are found by alternating minima.
 
 Edge cases: a null, empty or wordless text has fingerprint zero and is linked like any
 other; a document without id belongs to its component, whose id is the smallest id that is
-there (null if none is); repeated rows are kept; an empty table gives no rows. Other
+there (null if none is); repeated rows are kept; an empty table gives no rows; tables without any link, and tasks without any
+row, give every document its own component. The hashes of a very long text are counted in parts. Other
 columns are not read by ``near_duplicates``.
 """
 
 from __future__ import annotations
 
+from itertools import combinations, pairwise
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from murmuration.llm.common import fresh, sliced
+from murmuration.llm.common import bounded_batches, fresh, sliced
 from murmuration.llm.components import connected_components
 from murmuration.sources.scratch import Scratch
 
@@ -82,10 +86,12 @@ def fingerprint(text: Column) -> Column:
     return simhash(text.cast("string"))
 
 
-def bands(radius: int) -> list[tuple[int, int]]:
-    """(shift, bits) of radius + 1 bands that cover 64 bits."""
-    cuts = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+def choices(radius: int) -> list[int]:
+    """Masks (as signed 64-bit numbers) of which two fingerprints within the radius agree in at least one."""
+    cuts = [64 * i // max(1, 2 * radius) for i in range(2 * radius + 1)] or [0]
+    blocks = [(1 << b) - (1 << a) for a, b in pairwise(cuts)]
+    masks = [sum(some) for some in combinations(blocks, radius)] if radius else [(1 << 64) - 1]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
 class Forest:
@@ -181,7 +187,7 @@ def star_links(groups: np.ndarray, parts: np.ndarray, prints: np.ndarray, stays:
 def link_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Stars (a, b) that connect all distinct fingerprints (column fp) within the radius."""
     schema = "a long, b long"
-    cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.expr(f"shiftrightunsigned(fp, {s}) & {(1 << b) - 1}L").alias("value")) for i, (s, b) in enumerate(bands(radius))])
+    cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("value")) for i, m in enumerate(choices(radius))])
     dealt = prints.select("fp", F.explode(cuts).alias("c")).select("fp", "c.band", "c.value")
     # a shard with more than TREE_NODES is cut into parts; a group is one part's tree and the queries of that part or of an earlier one
     sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -200,9 +206,10 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
     def walk(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
-            return
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return  # a task may get no rows
+        table = pa.Table.from_batches(held)
         column = lambda name: table.column(name).to_numpy()
         a, b = star_links(column("shard"), column("part"), column("fp").view(np.uint64), column("stays").astype(bool), radius, column("asks").astype(bool))
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
@@ -213,6 +220,7 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fp (long with the fingerprint's bits), root, component_id."""
+    bounded_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "simhash")
     printed = scratch.put(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "fingerprints")
     distinct = scratch.put(printed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
@@ -220,19 +228,23 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     roots = connected_components(links, scratch).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = scratch.put(rooted.select("fp", "first_id", "root"), "rooted")
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return printed.join(rooted.select("fp", "root"), "fp").join(ids, "root").select("doc_id", "fp", "root", "component_id")
+    # both sides of each join are stored tables, so that a hot component or fingerprint can be split by the adaptive join
+    ids = scratch.put(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "ids")
+    labels = scratch.put(rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "labels")
+    return printed.join(labels, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_per_component(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The documents with all their columns, of each component only one: that of the smallest id.
 
-    Of rows that agree in this id and in the fingerprint one stays. A component without any id
+    Of rows that agree in this id and in the fingerprint the one whose columns have the least hash stays. A component without any id
     keeps one of its documents.
     """
-    fp = fresh(docs, "_fp")
+    fp, best_fp, best_id, nth = (fresh(docs, c) for c in ("_fp", "_best_fp", "_best_id", "_nth"))
     order = F.struct(F.col("doc_id").isNull().alias("gone"), "doc_id", "fp")
-    best = near_duplicates(docs, radius).groupBy("root").agg(F.min(order).alias("_b")).select(F.col("_b.doc_id").alias("_b_id"), F.col("_b.fp").alias("_b_fp"))
+    best = near_duplicates(docs, radius).groupBy("root").agg(F.min(order).alias("b")).select(F.col("b.doc_id").alias(best_id), F.col("b.fp").alias(best_fp))
     printed = docs.withColumn(fp, fingerprint(F.col("text")))
-    kept = printed.join(best, (F.col(fp) == F.col("_b_fp")) & F.col("doc_id").eqNullSafe(F.col("_b_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", fp]).select(*docs.columns)
+    kept = printed.join(best, (F.col(fp) == F.col(best_fp)) & F.col("doc_id").eqNullSafe(F.col(best_id)), "left_semi")
+    # the rows that are left of an id and fingerprint: equal in both, so a recomputed task must choose alike
+    first = Window.partitionBy("doc_id", fp).orderBy(F.xxhash64(*docs.columns), F.xxhash64(*docs.columns, F.lit(1)))
+    return kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)
