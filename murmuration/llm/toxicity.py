@@ -12,7 +12,7 @@ a fixed number of weights, so that inflected forms share what is learned.
 The model is fitted on a bounded sample: at most about ``per_class`` labelled documents of each class, drawn by a
 hash of the id, from training rows only (crc32 of the id modulo 3 is not 1). Every document is scored, whole.
 
-Edge cases: a null, empty or wordless text has no sentence and scores 0; rows without id are scored and never
+Edge cases: a null, empty or wordless text has no sentence and scores 0; of a text of any length all sentences are scored; rows without id are scored and never
 learned from; repeated rows are scored alike and learned from once (of labels that differ the toxic one, of texts the
 first in code point order); without any usable label nothing is learned and all scores are 0; an
 empty table gives no rows. Other columns are not read.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from murmuration.llm.common import once_per_worker, sliced
+from murmuration.llm.common import bounded_batches, once_per_worker, sliced
 
 BITS = 18
 #: Bound of the training sample, per class.
@@ -149,21 +149,23 @@ class Scorer(dict):
             self[token] = found
         return found
 
-    def _lifts(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    def lifts(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
         """The sentences, and what the words of each add to the bias (never negative)."""
         spans = sentences(text)
         return spans, np.array([sum(map(self.__getitem__, text[a:b].lower().split())) for a, b in spans], np.float64)
 
     def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
-        spans, lifts = self._lifts(text)
+        spans, lifts = self.lifts(text)
         return spans, _sigmoid(lifts + self.bias)
 
-    def score(self, text: str) -> float:
-        """Noisy-or over the sentences, each against a sentence without telling words."""
-        lifts = self._lifts(text)[1]
+    def joined(self, lifts: np.ndarray) -> float:
+        """Noisy-or over sentences, each against a sentence without telling words."""
         lifts = lifts[lifts > 0]
         return float(-np.expm1((np.logaddexp(0, self.bias) - np.logaddexp(0, self.bias + lifts)).sum())) if len(lifts) else 0.0
 
+    def score(self, text: str) -> float:
+        return self.joined(self.lifts(text)[1])
+
 
 class Model:
     """A fitted model, as column expressions."""
@@ -192,20 +194,24 @@ class Model:
 
         return scored(text.cast("string"))
 
-    def offending(self, text: Column, least: float = 0.5) -> Column:
-        """Sentences at or above ``least``: array of start, end (code points, from 0) and score."""
+    def located(self, text: Column, least: float = 0.5) -> Column:
+        """The score of a text, and its sentences at or above ``least``: start, end (code points, from 0) and score of each."""
         model = self
 
-        @F.arrow_udf("array<struct<start:int,end:int,score:double>>")
-        def located(texts: pa.Array) -> pa.Array:
-            scorer, out = model._scorer(), []
-            for t in texts.to_pylist():
-                spans, p = scorer.sentence_scores(t or "")
-                out.append([{"start": a, "end": b, "score": s} for (a, b), s in zip(spans, p.tolist(), strict=True) if s >= least])
+        @F.arrow_udf("struct<score:double,offending:array<struct<start:int,end:int,score:double>>>")
+        def judged(texts: pa.Array) -> pa.Array:
+            scorer, scores, found = model._scorer(), [], []
+            for some in sliced([texts]):
+                for t in some.to_pylist():
+                    spans, lifts = scorer.lifts(t or "")
+                    scores.append(scorer.joined(lifts))
+                    told = np.flatnonzero(lifts > 0)  # most sentences have no telling word
+                    p = _sigmoid(lifts[told] + scorer.bias)
+                    found.append([{"start": spans[i][0], "end": spans[i][1], "score": s} for i, s in zip(told.tolist(), p.tolist(), strict=True) if s >= least])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-            return pa.array(out, kind)
+            return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(found, kind)], names=["score", "offending"])
 
-        return located(text.cast("string"))
+        return judged(text.cast("string"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -214,6 +220,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on at most about ``per_class`` documents of each class."""
+    bounded_batches(docs.sparkSession)
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_y"))
     total = {r._y: r.n for r in usable.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -228,9 +235,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     joined = joined.groupBy("_id", "_y").agg(F.min("text").alias("text"))  # rows that share an id teach once
-    rows = sorted((r._id, r._y, bytes(r.b.features), bytes(r.b.sizes)) for r in joined.select("_id", "_y", bags(F.col("text").cast("string")).alias("b")).collect())
-    found = [(np.frombuffer(f, "<u4").astype(np.int64), np.frombuffer(s, "<u4").astype(np.int64)) for _, _, f, s in rows]
-    y = np.array([r[1] for r in rows])
+    rows = joined.select("_id", "_y", bags(F.col("text").cast("string")).alias("b")).collect()
+    rows.sort(key=lambda r: (r._id, r._y))
+    # views of the collected bytes, without a second copy on the driver
+    found = [(np.frombuffer(r.b.features, "<u4"), np.frombuffer(r.b.sizes, "<u4")) for r in rows]
+    y = np.array([r._y for r in rows])
     # the classes weigh as in the labels, however they were drawn
     drawn = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weight = np.array([total.get(c, 0) / drawn[c] for c in y.tolist()])
@@ -238,6 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    """One row per document: doc_id, held_out, score, predicted, offending (the sentences, as start, end and score)."""
+    judged = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.located(F.col("text")).alias("j"))
+    predicted = (F.col("j.score") >= THRESHOLD).cast("int")
+    return judged.select("doc_id", "held_out", F.col("j.score").alias("score"), predicted.alias("predicted"), F.col("j.offending").alias("offending"))
