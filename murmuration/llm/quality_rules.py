@@ -1,17 +1,18 @@
 """Quality rules: cross-document line frequency, after rules on single texts.
 
 The lines of every text are normalised (lower case, single blanks, digits as 0) and hashed.
-Per host (the column ``source``), a line's frequency is the number of different texts that contain it:
-exact copies of a text count once, since copies are not boilerplate. A line above the
-limits of its host is removed, and a document that loses more than half of its words is
-rejected.
+Per host (the column ``source``), a line's frequency is the number of documents with different texts that contain it:
+exact copies of a document count once. Each of a document's own lines stands in all of its copies, so counted one by one they would
+reject every text that was copied often, whatever its quality; copies are the business of dedup. A line above the
+limit is removed, and a document that loses more than half of its words is
+rejected. The limit is a number of documents, the same for every host: a verdict never gets better because a host grows.
 
 Only hashes travel, never texts. Frequencies are combined per task before the shuffle, so a
 line that a third of all documents share is no hot key; the join back is between narrow rows
 that the adaptive join can split.
 
 Edge cases: a null text has no words and fails the base rules; documents without source
-share a host of their own; documents without id and repeated rows are judged row by row; an empty
+share a host of their own; documents without id and repeated rows are judged row by row, very long texts whole; an empty
 table gives no rows. Other columns are not read by ``judge``.
 """
 
@@ -24,15 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from murmuration.llm.common import sliced, texts_of
+from murmuration.llm.common import bounded_batches, sliced, texts_of
 from murmuration.sources.scratch import Scratch
 
 MIN_WORDS = 50
 #: Largest share, in percent, of words within 3-word windows found twice or more.
 MAX_REPEATED = 50
-#: A line is boilerplate on a host in more different texts than both of these.
+#: A line is boilerplate on a host that has it in more different texts.
 LINE_TEXTS = 20
-LINE_SHARE = 0.02
 #: A document may lose this share of its words.
 MAX_LOST = 0.5
 SYMBOLS = "#*$%&|<>"
@@ -94,24 +94,19 @@ def measured(docs: DataFrame) -> DataFrame:
             row += len(texts)
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
+    bounded_batches(docs.sparkSession)
     cast = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")]
     return docs.select(*cast).mapInArrow(measure, _MEASURED)
 
 
-def judge(docs: DataFrame, line_texts: int = LINE_TEXTS, line_share: float = LINE_SHARE, max_lost: float = MAX_LOST) -> DataFrame:
+def judge(docs: DataFrame, line_texts: int = LINE_TEXTS, max_lost: float = MAX_LOST) -> DataFrame:
     """One row per document: doc_id, source, the base figures, base_failed, removed_lines (their
     places, from 0), n_removed_words and kept."""
     scratch = Scratch(docs.sparkSession, "quality")
     base = scratch.put(measured(docs), "measured")
     entries = base.select("row", "source", "text_hash", F.inline("lines"))
     texts_with = entries.groupBy("source", "hash", "text_hash").agg(F.lit(1).alias("one")).groupBy("source", "hash").agg(F.count(F.lit(1)).alias("texts"))
-    hosts = base.groupBy("source", "text_hash").agg(F.lit(1).alias("one")).groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("host_texts"))
-    common = (
-        texts_with.where(F.col("texts") > line_texts)
-        .join(hosts, F.col("source").eqNullSafe(F.col("host")))
-        .where(F.col("texts") > line_share * F.col("host_texts"))
-        .select("host", F.col("hash").alias("common"))
-    )
+    common = texts_with.where(F.col("texts") > line_texts).select(F.col("source").alias("host"), F.col("hash").alias("common"))
     common = scratch.put(common, "common")
     hit = entries.join(common, (F.col("hash") == F.col("common")) & F.col("source").eqNullSafe(F.col("host")))
     lost = hit.groupBy(F.col("row").alias("_row")).agg(F.sum("words").alias("_lost"), F.sort_array(F.collect_list("at")).alias("_at"))
@@ -156,8 +151,8 @@ WITH texts AS (
 ), filled AS (SELECT * FROM spoken WHERE n > 0
 ), dups AS (SELECT nth, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY nth
 ), frequent AS (
-  SELECT source, normal FROM filled f GROUP BY source, normal
-  HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.02 * (SELECT count(DISTINCT text) FROM texts t WHERE t.source IS NOT DISTINCT FROM f.source)
+  SELECT source, normal FROM filled GROUP BY source, normal
+  HAVING count(DISTINCT text) > 20
 ), lost AS (
   SELECT nth, sum(f.n) AS n FROM filled f JOIN frequent q ON f.normal = q.normal AND f.source IS NOT DISTINCT FROM q.source GROUP BY nth
 ), figures AS (
