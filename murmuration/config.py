@@ -30,6 +30,8 @@ class StorageSettings:
     partition_columns: tuple[str, ...] = ("scrape_date", "primary_hashtag")
     compression: str = "snappy"
     key_columns: tuple[str, ...] = ("post_id",)
+    # Names the folder level of batches that may be written again; None appends without batch ids.
+    batch_column: str | None = None
 
 
 @dataclass(frozen=True)

@@ -341,6 +341,11 @@ ORACLES: dict[str, str] = {
                sum(engagement_score)::BIGINT AS engagement,
                sum(length(content))::BIGINT AS characters
         FROM posts GROUP BY scrape_date, primary_hashtag""",
+    "repeated_batches": f"WITH {_POSTS} SELECT post_id, primary_hashtag, engagement_score FROM posts",
+    "key_lookup": f"""
+        WITH {_POSTS}
+        SELECT post_id, primary_hashtag, engagement_score, content FROM posts
+        ORDER BY engagement_score DESC, post_id LIMIT 10""",
     "engagement": f"WITH {_POSTS} SELECT post_id, engagement_score, scrape_date FROM posts",
     "entities": rf"""
         WITH {_POSTS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.config import CollectionSettings, NearDuplicateSettings, SampleSettings, SignalSettings, TermSettings
+from murmuration.config import CollectionSettings, NearDuplicateSettings, SampleSettings, SignalSettings, StorageSettings, TermSettings
 from murmuration.functions import minhash, text
 from murmuration.operators import (
     cleaning,
@@ -96,6 +96,25 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts stored in three batches, each tried twice; the first attempt of each held half of its rows."""
+    store = PostStore(spark, Scratch(spark, "batches").at("posts"), StorageSettings(batch_column="batch"))
+    posts = ingest.normalise_delivered(_delivered(given.posts(spark, sf_dir)))
+    share = F.pmod(F.xxhash64("post_id"), F.lit(6))
+    for batch in range(3):
+        store.write_batch(posts.where(share == batch), batch)
+        store.write_batch(posts.where(share.isin(batch, batch + 3)), batch)
+    return store.load(["post_id", "primary_hashtag", "engagement_score"])
+
+
+def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows of the ten busiest posts, read back by their ids."""
+    store = _stored(spark, sf_dir)
+    busiest = sampling.top_posts(store.load(["post_id", "engagement_score"]), 10)
+    keys = [r["post_id"] for r in busiest.select("post_id").collect()]
+    return store.lookup(keys, ["post_id", "primary_hashtag", "engagement_score", "content"])
+
+
 def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posts(spark, sf_dir).select("post_id", "engagement_score", "scrape_date")
 
@@ -498,6 +517,8 @@ def stream_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_filtered": scan_filtered,
     "partition_roundtrip": partition_roundtrip,
+    "repeated_batches": repeated_batches,
+    "key_lookup": key_lookup,
     "engagement": engagement,
     "entities": entities,
     "count_labels": count_labels,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -57,8 +58,22 @@ def read_existing(spark: SparkSession, path: str, id_column: str = "tweet_id") -
     )
 
 
+def parquet_options(settings: StorageSettings) -> dict[str, str]:
+    """Compression, and a bloom filter on each key column sized by what its row group holds."""
+    options = {"compression": settings.compression}
+    if settings.key_columns:
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+    for key in settings.key_columns:
+        options[f"parquet.bloom.filter.enabled#{key}"] = "true"
+    return options
+
+
 class PostStore:
-    """A folder of raw posts, by default partitioned by date and tag."""
+    """A folder of raw posts, by default partitioned by date and tag.
+
+    With ``settings.batch_column`` the folders of each batch lie below one named after it, and a batch that
+    is written again takes the place of its first attempt. Without it, an append that is tried again doubles its rows.
+    """
 
     def __init__(
         self,
@@ -72,39 +87,69 @@ class PostStore:
         self.settings = settings or DEFAULT.storage
         self.schema = schema
 
-    def write_batch(self, posts: DataFrame) -> int:
-        """Append posts and return how many were written.
+    def write_batch(self, posts: DataFrame, batch_id: str | int | None = None) -> int:
+        """Add posts and return how many were written.
 
         The rebalance hint groups rows by partition folder so that files stay
-        few, and lets AQE split a folder that holds a large share of the rows.
+        few, and lets AQE split a folder that holds a large share of the rows. Rows of a file are
+        ordered by key, so that the statistics and the bloom filters of its parts tell keys apart.
+
+        A store of batches needs an id for each; the job's commit makes its rows visible, and the same
+        id again, after a failure or not, leaves just the rows of the last attempt.
         """
-        if posts.isEmpty():
+        target, mode = self._target(batch_id)
+        empty = posts.isEmpty()
+        if empty and batch_id is None:
             return 0
+        folders = self.settings.partition_columns
         written = Observation("written")
         shaped = posts.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         )
+        counted = shaped if empty else shaped.observe(written, F.count(F.lit(1)).alias("rows"))
         (
-            shaped.observe(written, F.count(F.lit(1)).alias("rows"))
-            .hint("rebalance", *self.settings.partition_columns)
-            .write.mode("append")
-            .partitionBy(*self.settings.partition_columns)
-            .option("compression", self.settings.compression)
-            .parquet(self.path)
+            counted.hint("rebalance", *folders)
+            .sortWithinPartitions(*folders, *self.settings.key_columns)
+            .write.mode(mode)
+            .partitionBy(*folders)
+            .options(**parquet_options(self.settings))
+            .parquet(target)
         )
-        return written.get["rows"]
+        return 0 if empty else written.get["rows"]
+
+    def _target(self, batch_id: str | int | None) -> tuple[str, str]:
+        """The folder that takes a batch, and how."""
+        column = self.settings.batch_column
+        if (column is None) != (batch_id is None):
+            raise ValueError("a batch id is given exactly where the store has a batch column")
+        if column is None:
+            return self.path, "append"
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(batch_id)):
+            raise ValueError(f"not a folder name: {batch_id!r}")
+        return f"{self.path}/{column}={batch_id}", "overwrite"
+
+    def lookup(self, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+        """Posts with one of a few keys; parts of files whose statistics or bloom filter rule them out are skipped.
+
+        The condition is a comparison per key, which the scan checks against the bloom filter
+        whatever their number.
+        """
+        (key,) = self.settings.key_columns
+        return self.load(columns, [[(key, "=", k)] for k in dict.fromkeys(keys)] or [[(key, "in", [])]])
 
     def load(self, columns: list[str] | None = None, filters: list | None = None) -> DataFrame:
         """Posts with the declared schema; no rows if nothing has been stored yet.
 
-        Filters on partition columns prune folders, others reach the Parquet scan.
+        Filters on partition columns, the batch column among them, prune folders, others reach the Parquet scan.
         """
+        batch = self.settings.batch_column
+        stored = self.schema if batch is None else T.StructType([*self.schema.fields, T.StructField(batch, T.StringType())])
         try:
-            posts = self.spark.read.schema(self.schema).parquet(self.path)
+            posts = self.spark.read.schema(stored).parquet(self.path)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            posts = self.spark.createDataFrame([], self.schema)
+            posts = self.spark.createDataFrame([], stored)
         if filters:
             posts = posts.where(predicate(filters))
         return posts.select(*(columns or self.schema.fieldNames()))

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from murmuration.config import DEFAULT, SignalSettings, StorageSettings
 from murmuration.operators import cleaning, ingest, sentiment, signal
 from murmuration.schema import DELIVERED_POSTS
+from murmuration.sources.store import parquet_options
 
 AVAILABLE = {"availableNow": True}
 
@@ -40,12 +41,14 @@ def _to_parquet(
     checkpoint: str,
     trigger: dict,
     partition_columns: tuple[str, ...] = (),
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
+        .options(**(options or {}))
         .trigger(**trigger)
     )
     if partition_columns:
@@ -69,7 +72,7 @@ def ingest_posts(
     settings = settings or DEFAULT.storage
     salt = F.pmod(F.xxhash64("post_id"), F.lit(salts))
     grouped = ingest.normalise_delivered(delivered).repartition(*settings.partition_columns, salt)
-    return _to_parquet(grouped, path, checkpoint, trigger, settings.partition_columns)
+    return _to_parquet(grouped, path, checkpoint, trigger, settings.partition_columns, parquet_options(settings))
 
 
 def exact_dedup_stream(
