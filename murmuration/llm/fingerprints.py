@@ -10,14 +10,15 @@ the sum of the smaller over the sum of the larger weights. One byte of a hash of
 
 Edge cases: a null text counts as empty; a text without words has a fingerprint of zero bytes that
 is like no other but those without words (likeness 1); equal texts have equal fingerprints; documents
-without id come first, documents with equal ids are ordered by text; an empty table gives no rows. Other columns
-are not read.
+without id come first, documents with equal ids are ordered by a hash of the text, then by the text; very long texts are
+taken whole, one at a time; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,9 @@ from murmuration.sources.scratch import Scratch
 SAMPLES = 128
 #: Documents of a block of neighbouring ids, about.
 BLOCK_DOCS = 256
+#: Quantiles of the ids that blocks are cut between, and the most blocks between two of them.
+_QUANTILES = 512
+_MOST_PARTS = 1 << 22
 #: Weighted terms whose draws a worker keeps.
 _KEPT_TERMS = 1 << 17
 _CHUNK_DOCS = 256
@@ -136,6 +140,62 @@ def _compare(ids: list, texts: list[str], following: list[str], samples: int) ->
     ]
 
 
+def _blocks(placed: DataFrame, block_docs: int):
+    """Number of the block of each document, rising with (doc_id, h), null ids first.
+
+    Blocks are cut between the approximate quantiles of the ids, in as many equal widths as the documents between
+    two of them ask for, so clusters of ids far apart fill blocks of their own. An id that is
+    the value of several quantiles, and the lack of one, is cut by the hash of the text instead.
+    """
+    at = [i / _QUANTILES for i in range(_QUANTILES + 1)]
+    seen = placed.agg(F.count("doc_id").alias("n"), F.count(F.lit(1)).alias("rows"), F.percentile_approx("doc_id", at, 20 * _QUANTILES).alias("q")).first()
+    stride = 1
+    while stride < _QUANTILES and stride * seen.n < _QUANTILES * block_docs:
+        stride *= 2
+    times = Counter((seen.q or [])[::stride])
+    each = seen.n * stride / _QUANTILES
+
+    def parts(docs: float, most: int) -> int:
+        return max(1, min(most, math.ceil(docs / block_docs)))
+
+    none_parts = number = parts(seen.rows - seen.n, _MOST_PARTS)
+    # segments: least id, parts cut by hash (0: by width), ids in a part, first block
+    segments = []
+    borders = sorted(times)
+    for border, following in zip(borders, [*borders[1:], None][: len(borders)], strict=True):
+        start = border
+        if times[border] > 1:
+            cut = parts(times[border] * each, _MOST_PARTS)
+            segments.append((border, cut, 1, number))
+            number, start = number + cut, border + 1
+        ids = 1 if following is None else following - start
+        if ids > 0 and start < 1 << 63:
+            n = parts(each, min(_MOST_PARTS, ids))
+            segments.append((start, 0, -(-ids // n), number))
+            number += n
+    leasts, cuts, widths, firsts = zip(*(segments or [(0, 0, 1, number)]), strict=True)
+    leasts, cuts, firsts = (np.array(c, np.int64) for c in (leasts, cuts, firsts))
+    widths = np.array(widths, np.uint64)
+    lasts = np.r_[firsts[1:], number] - 1
+
+    @F.arrow_udf("long")
+    def block_of(doc_id: pa.Array, h: pa.Array) -> pa.Array:
+        missing = doc_id.is_null().to_numpy(zero_copy_only=False)
+        given = doc_id.fill_null(0).to_numpy(zero_copy_only=False)
+        high = (h.to_numpy(zero_copy_only=False) >> 32) + (1 << 31)
+        segment = np.maximum(np.searchsorted(leasts, given, side="right") - 1, 0)
+        ids = np.maximum(given, leasts[segment])
+        # unsigned, since ids may lie more than 2^63 apart
+        step = ((ids.astype(np.uint64) - leasts[segment].astype(np.uint64)) // widths[segment]).astype(np.int64)
+        step = np.where(cuts[segment] > 0, high * cuts[segment] >> 32, step)
+        # an id before the least quantile goes before all parts of the first segment
+        step = np.where(given < leasts[segment], 0, step)
+        found = np.minimum(firsts[segment] + step, lasts[segment])
+        return pa.array(np.where(missing, high * none_parts >> 32, found))
+
+    return block_of("doc_id", "h")
+
+
 def neighbours(docs: DataFrame, samples: int = SAMPLES, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and the likeness to it and to the next document's.
 
@@ -145,11 +205,9 @@ def neighbours(docs: DataFrame, samples: int = SAMPLES, block_docs: int = BLOCK_
     """
     scratch = Scratch(docs.sparkSession, "fingerprints")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seen = plain.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc_id", [0.01, 0.99], 1000).alias("q")).first()
-    low, high = seen.q or (0, 0)
-    width = max(1, math.ceil((high - low + 1) / max(1, 0.98 * seen.n) * block_docs))
-    block = F.coalesce(F.expr(f"(doc_id - pmod(doc_id, {width}L)) div {width}L"), F.lit(-(1 << 62)))
-    dealt = plain.withColumn("block", block).repartition("block").sortWithinPartitions("block", "doc_id", "text")
+    placed = plain.withColumn("h", F.xxhash64("text"))
+    block = _blocks(placed, block_docs)
+    dealt = placed.withColumn("block", block).repartition("block").sortWithinPartitions("block", "doc_id", "h", "text")
     names = ["kind", "block", "text", *[c.split()[0] for c in _RESULT.split(", ")]]
 
     def border(kind, block, doc_id, text):

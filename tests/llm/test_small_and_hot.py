@@ -1,6 +1,7 @@
 """Small tables, hot groups, and rules written out by hand."""
 
 import collections
+import hashlib
 import math
 
 import numpy as np
@@ -205,3 +206,36 @@ def test_stages_on_awkward_empty_and_single_rows(awkward, spark, tmp_path):
         spark.createDataFrame([(4, 1), (7, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
         packed = corpus_pipeline.run(spark, f"{tmp_path}/{k}")
         assert packed.count() >= (0 if k == 1 else 1)
+
+
+def order_of(doc_id, h):
+    return (doc_id is not None, doc_id or 0, h)
+
+
+@pytest.mark.parametrize("shape", ["clusters", "hot id", "no ids", "wide", "one"])
+def test_fingerprint_blocks_rise_and_stay_small(spark, shape):
+    n = 6_000
+    ids = {
+        "clusters": [i if i % 3 else 10**15 + i for i in range(n)],
+        "hot id": [7 if i % 3 == 0 else None if i % 3 == 1 else i for i in range(n)],
+        "no ids": [None] * n,
+        "wide": [(-1 if i % 2 else 1) * ((1 << 63) - 1 - i * 1_000_003) for i in range(n)],
+        "one": [5],
+    }[shape]
+    docs = spark.createDataFrame([(d, f"text {i}") for i, d in enumerate(ids)], "doc_id long, text string").withColumn("h", F.xxhash64("text"))
+    found = docs.select("doc_id", "h", fingerprints._blocks(docs, 50).alias("block")).collect()
+    found.sort(key=lambda r: order_of(r.doc_id, r.h))
+    blocks = [r.block for r in found]
+    assert blocks == sorted(blocks)
+    assert max(collections.Counter(blocks).values()) <= 250
+
+
+def test_next_documents_meet_across_clustered_and_repeated_ids(spark):
+    rows = [(i if i % 3 else 10**12 + i, f"words of {i} and {i * i} more {i % 7}") for i in range(300)]
+    rows += [(None, f"nothing {i}") for i in range(40)] + [(4, f"again {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    hashed = sorted(docs.withColumn("h", F.xxhash64("text")).collect(), key=lambda r: (*order_of(r.doc_id, r.h), r.text))
+    following = [*hashed[1:], hashed[0]]
+    wanted = sorted(hashlib.sha256(fingerprints.edited_text(a.text, b.text).encode()).hexdigest() for a, b in zip(hashed, following, strict=True))
+    found = [r.edited_sha256 for r in fingerprints.neighbours(docs, block_docs=8).collect()]
+    assert sorted(found) == wanted
