@@ -27,6 +27,7 @@ class CollectionSettings:
 
 @dataclass(frozen=True)
 class StorageSettings:
+    # The folders, compression and key of stored posts.
     partition_columns: tuple[str, ...] = ("scrape_date", "primary_hashtag")
     compression: str = "snappy"
     key_columns: tuple[str, ...] = ("post_id",)
@@ -36,6 +37,7 @@ class StorageSettings:
 
 @dataclass(frozen=True)
 class NearDuplicateSettings:
+    # The similarity, permutations and shingle length of near-duplicate removal.
     threshold: float = 0.92
     num_perm: int = 64
     shingle_words: int = 3
@@ -43,6 +45,7 @@ class NearDuplicateSettings:
 
 @dataclass(frozen=True)
 class TermSettings:
+    # The size of the vocabulary and what counts as a term.
     max_features: int = 5000
     max_ngram: int = 2
     min_df: int = 2
@@ -51,6 +54,7 @@ class TermSettings:
 
 @dataclass(frozen=True)
 class SignalSettings:
+    # The bucket length, interval and weights of the signal.
     bucket_minutes: int = 15
     min_ci_sample: int = 20
     confidence: float = 0.90
@@ -62,6 +66,7 @@ class SignalSettings:
 
 @dataclass(frozen=True)
 class SampleSettings:
+    # The size and seed of a sample.
     size: int = 5000
     seed: int = 42
 
