@@ -304,8 +304,12 @@ def near_duplicate_dedup(
     # Only the kept ids outlive the call; the larger work tables go at once.
     kept = Scratch(posts.sparkSession, "near-dup").put(kept, "kept")
     work.drop()
-    comparable = posts.join(kept, F.col(post_id) == F.col("id"), "left_semi")
-    return comparable.unionByName(posts.where(F.col("content").isNull() | F.col(post_id).isNull()))
+    # One pass decides on all posts with an id, so an exact tier below runs once for it. Posts without an id are read apart:
+    # they would meet in one task of the join, and the test reaches the scan where ids are the key of that tier.
+    chosen = kept.withColumn("_chosen", F.lit(True)).withColumnRenamed("id", "_kept_id")
+    named = posts.where(F.col(post_id).isNotNull()).join(chosen, F.col(post_id) == F.col("_kept_id"), "left")
+    named = named.where(F.col("_chosen") | F.col("content").isNull()).drop("_chosen", "_kept_id")
+    return named.unionByName(posts.where(F.col(post_id).isNull()))
 
 
 def deduplicate(
