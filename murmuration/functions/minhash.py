@@ -48,24 +48,32 @@ def band_layout(threshold: float, num_perm: int, steps: int = 1000) -> tuple[int
     return best
 
 
-def shingles(tokens: Column, k: int) -> Column:
-    """Every run of ``k`` consecutive tokens; one run with all tokens if there are fewer.
+def shingle_starts(tokens: Column, k: int) -> Column:
+    """Index of the first token of every shingle: each run of ``k`` consecutive tokens, one run if there are fewer."""
+    return F.sequence(F.lit(0), F.greatest(F.size(tokens) - k, F.lit(0)))
+
+
+def shingle_at(tokens: Column, start: Column, k: int) -> Column:
+    """The shingle of ``k`` tokens from ``start`` on.
 
-    ``tokens`` must be a plain attribute (not a split expression): it is read
-    inside the lambda, once per shingle. Single elements are read in constant
-    time where a slice would copy the array, and those past the end are null,
-    which the join leaves out.
+    Single elements are read in constant time where a slice would copy the array, and those
+    past the end are null, which the join leaves out.
     """
-    starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - k, F.lit(0)))
-    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(k)]))
+    return F.concat_ws(" ", *[F.get(tokens, start + j) for j in range(k)])
+
+
+def shingles(tokens: Column, k: int) -> Column:
+    """All shingles as an array. ``tokens`` must be a plain attribute (not a split expression): it is read per shingle."""
+    return F.transform(shingle_starts(tokens, k), lambda start: shingle_at(tokens, start, k))
 
 
 LANES = 2
 
 
-def base_hash(digest: Column, lane: int) -> Column:
-    """Lane of the md5 digest of a shingle, modulo the prime."""
-    return F.conv(F.substring(digest, 1 + 8 * lane, 8), 16, 10).cast("bigint") % PRIME
+def base_hashes(digest: Column) -> list[Column]:
+    """Both lanes of the md5 digest of a shingle, modulo the prime, from one conversion of its first 64 bits."""
+    bits = F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint")
+    return [F.shiftrightunsigned(bits, 32) % PRIME, bits.bitwiseAND(F.lit((1 << 32) - 1)) % PRIME]
 
 
 def permuted(h: Column, i: int) -> Column:

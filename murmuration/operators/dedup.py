@@ -60,11 +60,13 @@ def shingle_rows(posts: DataFrame, keep: list[str], k: int | None = None) -> Dat
     """One row per shingle occurrence of ``comparable``, next to the columns to keep.
 
     The split is its own projection below the generator, so it is evaluated once
-    per post and not again for every shingle.
+    per post and not again for every shingle. Positions are exploded and the words joined
+    after it, inside generated code: no array of shingles is built.
     """
     k = DEFAULT.near_dup.shingle_words if k is None else k
     tokens = posts.select(*keep, F.split("comparable", " ").alias("_tokens"))
-    return tokens.select(*keep, F.explode(minhash.shingles(F.col("_tokens"), k)).alias("shingle"))
+    starts = tokens.select(*keep, "_tokens", F.explode(minhash.shingle_starts(F.col("_tokens"), k)).alias("_at"))
+    return starts.select(*keep, minhash.shingle_at(F.col("_tokens"), F.col("_at"), k).alias("shingle"))
 
 
 def shingle_sets(posts: DataFrame, keep: list[str], k: int | None = None) -> DataFrame:
@@ -75,7 +77,7 @@ def shingle_sets(posts: DataFrame, keep: list[str], k: int | None = None) -> Dat
 def signatures(posts: DataFrame, keep: list[str], perms: int, k: int | None = None) -> DataFrame:
     """The MinHash minima ``m0 .. m<perms-1>`` of ``comparable``, one row per distinct ``keep``."""
     digests = shingle_rows(posts, keep, k).withColumn("_md5", F.md5(F.col("shingle").cast("binary")))
-    hashed = digests.withColumns({f"_h{i}": minhash.base_hash(F.col("_md5"), i) for i in range(minhash.LANES)})
+    hashed = digests.withColumns({f"_h{i}": lane for i, lane in enumerate(minhash.base_hashes(F.col("_md5")))})
     minima = [
         F.min(minhash.permuted(F.col(f"_h{i % minhash.LANES}"), i)).alias(f"m{i}") for i in range(perms)
     ]

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -276,7 +277,7 @@ def test_posts_that_share_half_a_hash_both_stay(spark):
 def test_many_short_posts_have_no_false_copies(spark):
     df = spark.range(300_000).selectExpr("concat('buy stock', id, ' now') AS content")
     digest = F.md5(F.col("content").cast("binary"))
-    lanes = df.select(*[minhash.base_hash(digest, i).alias(f"h{i}") for i in range(minhash.LANES)])
+    lanes = df.select(*[lane.alias(f"h{i}") for i, lane in enumerate(minhash.base_hashes(digest))])
     assert lanes.distinct().count() == 300_000
 
 
@@ -290,3 +291,28 @@ def test_the_configured_key_reaches_the_exact_tier(spark):
     df = frame(spark, [("1", "same words", 1), ("2", "same words", 2), ("3", "other", 3)])
     kept = dedup.deduplicate(df, near_duplicates=False, key_columns=("content",))
     assert kept.count() == 2
+
+
+def test_lanes_are_the_first_words_of_the_digest(spark):
+    texts = ["", "a", "two words", "नमस्ते", *[f"shingle {i}" for i in range(200)]]
+    digest = F.md5(F.col("content").cast("binary"))
+    df = spark.createDataFrame([(t,) for t in texts], "content string")
+    for row in df.select("content", *minhash.base_hashes(digest)).collect():
+        hexed = hashlib.md5(row[0].encode()).hexdigest()
+        assert list(row[1:]) == [int(hexed[i : i + 8], 16) % minhash.PRIME for i in (0, 8)]
+
+
+def test_exploded_shingles_equal_the_array_of_shingles(spark):
+    rows = [("1", "a b c d e", 0), ("2", "a", 0), ("3", None, 0), ("4", "", 0)]
+    df = frame(spark, rows).withColumn("comparable", F.col("content"))
+    whole = df.select("post_id", F.split("comparable", " ").alias("t")).select("post_id", F.explode(minhash.shingles(F.col("t"), 3)))
+    assert sorted(dedup.shingle_rows(df, ["post_id"], 3).collect()) == sorted(whole.collect())
+
+
+def test_the_near_tier_plans_the_exact_tier_once_more_for_all_posts_with_an_id(spark, plan_of):
+    df = frame(spark, [("1", "some words here", 1), ("2", None, 1), (None, "others", 2)])
+    kept = dedup.deduplicate(df)
+    assert sorted((r["post_id"] or "", r["content"] or "") for r in kept.collect()) == [("", "others"), ("1", "some words here"), ("2", "")]
+    final = plan_of(kept).split("Initial Plan")[0]
+    named, nameless = final.split("Window [")[1:]
+    assert "isnotnull(post_id" in named and "isnull(post_id" in nameless
