@@ -106,6 +106,38 @@ def target_column(tag: str, settings: CollectionSettings) -> Column:
     )
 
 
+def since_cutoff(
+    posts: DataFrame,
+    settings: CollectionSettings | None = None,
+    tag: str = "primary_hashtag",
+    ts: str = "timestamp",
+) -> DataFrame:
+    """The posts of each tag from the second on in which it reaches its target; all posts of a tag that does not.
+
+    Counts by second read two narrow columns once and are aggregated before the shuffle. They are summed by hour first and
+    looked at one by one only within the hour found, so no task orders all seconds of a tag. What is left of a tag
+    is its target and at most the posts of one second more.
+    """
+    settings = settings or DEFAULT.collection
+    posts = posts.where(F.col(tag).isNotNull() & F.col(ts).isNotNull())
+
+    def reached(counted: DataFrame) -> DataFrame:
+        newest_first = Window.partitionBy(tag).orderBy(F.desc("_unit"))
+        newer = F.col("_newer") + F.sum("_n").over(newest_first) - F.col("_n")
+        open_units = counted.withColumn("_newer", newer).where(F.col("_newer") < target_column(tag, settings))
+        # going back in time the newer posts only grow in number, so both belong to one unit
+        return open_units.groupBy(F.col(tag).alias("_tag")).agg(F.min("_unit").alias("_cutoff"), F.max("_newer").alias("_newer"))
+
+    second = F.date_trunc("second", ts).alias("_second")
+    counts = posts.groupBy(tag, second).agg(F.count(F.lit(1)).alias("_n"))
+    hour = F.date_trunc("hour", "_second")
+    hours = reached(counts.groupBy(tag, hour.alias("_unit")).agg(F.sum("_n").alias("_n")).withColumn("_newer", F.lit(0)))
+    within = counts.join(hours, (F.col(tag) == F.col("_tag")) & (hour == F.col("_cutoff"))).select(tag, "_newer", F.col("_second").alias("_unit"), "_n")
+    # stored, so the planner knows its size and broadcasts it where that is small
+    seconds = Scratch(posts.sparkSession, "tag-cutoff").put(reached(within).drop("_newer"), "cutoff")
+    return posts.join(seconds, (F.col(tag) == F.col("_tag")) & (F.col(ts) >= F.col("_cutoff"))).drop("_tag", "_cutoff")
+
+
 def cap_per_tag(
     posts: DataFrame,
     settings: CollectionSettings | None = None,
@@ -116,33 +148,14 @@ def cap_per_tag(
 ) -> DataFrame:
     """The newest posts of each tag, at most its target.
 
-    Two reductions keep a dominating tag away from any single task. Hourly
-    counts (two narrow columns, aggregated before the shuffle) give the hour in
-    which a tag reaches its target, so older posts are left in the scan stage.
-    What remains is ranked within salted parts of the tag, and only the best of
-    each part are ranked across the tag. Both steps are exact. The largest target
-    is repeated as a constant, which Catalyst can apply before the shuffle.
+    Two reductions keep a dominating tag away from any single task. Posts older than the second in which a tag
+    reaches its target stay in the scan stage (see ``since_cutoff``). What remains is ranked within salted parts of
+    the tag, and only the best of each part are ranked across the tag. Both steps are exact. The largest target
+    is repeated as a constant; up to the session's limit for groups (1,000 rows by default) Catalyst applies it
+    before the shuffle as well.
     """
     settings = settings or DEFAULT.collection
-    spark = posts.sparkSession
-    posts = posts.where(F.col(tag).isNotNull() & F.col(ts).isNotNull())
-
-    hourly = posts.groupBy(tag, F.date_trunc("hour", ts).alias("_hour")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    newest_first = Window.partitionBy(tag).orderBy(F.desc("_hour"))
-    before = F.sum("_n").over(newest_first) - F.col("_n")
-    cutoff = (
-        hourly.withColumn("_before", before)
-        .where(F.col("_before") < target_column(tag, settings))
-        .groupBy(F.col(tag).alias("_tag"))
-        .agg(F.min("_hour").alias("_cutoff"))
-    )
-    cutoff = Scratch(spark, "tag-cutoff").put(cutoff, "cutoff")
-    # stored, so the planner knows its size and broadcasts it where that is small
-    recent = posts.join(
-        cutoff, (F.col(tag) == F.col("_tag")) & (F.col(ts) >= F.col("_cutoff"))
-    ).drop("_tag", "_cutoff")
+    recent = since_cutoff(posts, settings, tag, ts)
 
     largest = settings.posts_per_hashtag
     order = [F.desc(ts), F.asc(post_id)]

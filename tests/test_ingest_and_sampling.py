@@ -69,6 +69,27 @@ def test_cap_with_all_posts_in_one_instant(spark):
     assert capped(df) == {"hot": {"000", "001", "002", "003", "004"}}
 
 
+def test_cap_leaves_old_posts_of_a_busy_hour_in_the_scan_at_the_default_target(spark):
+    df = spark.range(40_000).select(
+        F.format_string("%05d", "id").alias("post_id"),
+        F.when(F.col("id") % 1000 == 0, "quiet").otherwise("nifty50").alias("primary_hashtag"),
+        (F.lit(START) + F.expr("make_dt_interval(0, 0, 0, id / 20.0)")).alias("timestamp"),
+    )
+    left = {r["primary_hashtag"]: r["count"] for r in ingest.since_cutoff(df).groupBy("primary_hashtag").count().collect()}
+    assert left["quiet"] == 40 and 2000 <= left["nifty50"] <= 2000 + 20
+    newest = df.where("primary_hashtag = 'nifty50'").orderBy(F.desc("timestamp"), "post_id").limit(2000)
+    kept = ingest.cap_per_tag(df)
+    assert kept.count() == 2040 and newest.join(kept, "post_id", "left_anti").isEmpty()
+
+
+def test_cut_off_counts_the_newer_hours(spark):
+    rows = [(f"new{i}", "hot", START + timedelta(hours=1), 0) for i in range(3)]
+    rows += [(f"{i:02}", "hot", START + timedelta(seconds=i, milliseconds=500), 0) for i in range(60)]
+    left = {r["post_id"] for r in ingest.since_cutoff(posts(spark, rows), SMALL).collect()}
+    assert left == {"new0", "new1", "new2", "59", "58"}
+    assert ingest.since_cutoff(posts(spark, []), SMALL).count() == 0
+
+
 def test_collected_lists_silent_tags(spark):
     rows = [(str(i), "hot", START, 0) for i in range(6)] + [("y", "other", START, 0)]
     found = {r["tag"]: (r["collected"], r["target"], r["short_of_target"])
