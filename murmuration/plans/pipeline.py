@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from murmuration.config import DEFAULT, EngineConfig
-from murmuration.operators import cleaning, dedup, report, sampling, sentiment, signal, terms
+from murmuration.operators import cleaning, dedup, report, rows, sampling, sentiment, signal, terms
 from murmuration.sources import store
 
 
@@ -17,9 +17,13 @@ def score_posts(
     config: EngineConfig = DEFAULT,
     ts: str = "timestamp",
 ) -> DataFrame:
-    """Duplicates are judged on the raw text, before cleaning."""
-    unique = dedup.deduplicate(raw, near_duplicates, config.near_dup, ts, config.storage.key_columns)
-    return sentiment.with_sentiment(cleaning.clean_posts(unique))
+    """Duplicates are judged on the raw text, before cleaning.
+
+    Cleaning and scoring run where the posts are read; only what is wanted of the scored posts meets the names that stay.
+    """
+    unique, names = dedup.survivors(raw, near_duplicates, config.near_dup, ts, config.storage.key_columns)
+    scored = sentiment.with_sentiment(cleaning.clean_posts(unique))
+    return rows.among(scored, names).drop(*rows.NAMES)
 
 
 @dataclass(frozen=True)

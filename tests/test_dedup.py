@@ -1,13 +1,16 @@
 import hashlib
 import random
+import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from murmuration.functions import minhash
 from murmuration.functions.minhash import band_layout
-from murmuration.operators import dedup, similarity
+from murmuration.operators import dedup, rows, similarity
 from murmuration.operators.components import connected_components
+from murmuration.plans.pipeline import score_posts
 from murmuration.sources.scratch import Scratch
 
 SCHEMA = "post_id string, content string, engagement_score bigint"
@@ -316,3 +319,50 @@ def test_the_near_tier_plans_the_exact_tier_once_more_for_all_posts_with_an_id(s
     final = plan_of(kept).split("Initial Plan")[0]
     named, nameless = final.split("Window [")[1:]
     assert "isnotnull(post_id" in named and "isnull(post_id" in nameless
+
+
+def _shuffled_columns(df):
+    """The input columns of every exchange of a plan."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    parts = df._jdf.queryExecution().explainString(mode).split("\n\n")
+    return [p for p in parts if re.match(r"\s*\(\d+\) Exchange", p)]
+
+
+def _twice_found(spark):
+    texts = ["one two three four five six", "One two  three four five six!", "seven eight nine ten eleven", None, "", "twelve thirteen fourteen"]
+    rows = [(str(i) if i % 11 else None, texts[i % 6], tag, i % 4 if i % 5 else None, datetime(2024, 1, 1 + i % 3)) for i in range(40) for tag in ("a", "b")]
+    rows += rows[:9]
+    return spark.createDataFrame(rows, "post_id string, content string, primary_hashtag string, engagement_score bigint, timestamp timestamp")
+
+
+@pytest.mark.parametrize("near", [True, False])
+def test_tiers_on_names_leave_the_same_posts(spark, near):
+    posts = _twice_found(spark)
+    unique = dedup.exact_dedup(posts)
+    expected = dedup.near_duplicate_dedup(unique) if near else unique
+    found = dedup.deduplicate(posts, near)
+    assert found.columns == posts.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+@pytest.mark.parametrize("near", [True, False])
+def test_texts_of_scored_posts_are_not_shuffled(spark, near):
+    scored = score_posts(_twice_found(spark), near).select("post_id", "sentiment_label")
+    assert _shuffled_columns(scored) and not any("content" in x for x in _shuffled_columns(scored))
+
+
+def test_measured_texts_need_not_be_shuffled(spark):
+    posts = _twice_found(spark)
+    measured = posts.withColumns({"row": F.xxhash64(*posts.columns), "n": F.char_length("content")}).drop("content")
+    found = dedup.exact_dedup(measured, row_hash="row").select("post_id", "primary_hashtag", "n")
+    expected = dedup.exact_dedup(posts).select("post_id", "primary_hashtag", F.char_length("content").alias("n"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    assert _shuffled_columns(found) and not any("content" in x for x in _shuffled_columns(found))
+
+
+def test_names_outside_the_bitmap_go_and_others_stay(spark):
+    named = rows.named(spark.range(20000), ["id"])
+    chosen = named.where("id % 10 = 0")
+    may = rows.may_be_among(named, chosen)
+    assert 2000 <= may.count() < 5000 and may.columns == named.columns
+    assert rows.among(may.unionByName(may), chosen).agg(F.count("id"), F.sum("id")).first() == (2000, 10 * 2000 * 1999 // 2)
