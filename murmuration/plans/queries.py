@@ -176,9 +176,9 @@ def collected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = given.cross_posted(_posts(spark, sf_dir))
-    return dedup.exact_dedup(twice).select(
-        "post_id", "primary_hashtag", "engagement_score", F.char_length("content").alias("n_chars")
-    )
+    # the texts are hashed and measured where they are read, and not shuffled
+    measured = twice.withColumns({"_row": F.xxhash64(*twice.columns), "n_chars": F.char_length("content")}).drop("content")
+    return dedup.exact_dedup(measured, row_hash="_row").select("post_id", "primary_hashtag", "engagement_score", "n_chars")
 
 
 def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
