@@ -127,3 +127,17 @@ def test_labels_and_links(spark):
 @pytest.mark.parametrize("symbol", ["🚀", "☎", "〰", "㊗", "🥲", "🫨"])
 def test_emoji_class_holds_typical_members(spark, symbol):
     assert apply(spark, text.extract_emojis, [f"a{symbol}b"]) == [[symbol]]
+
+
+def test_nfkc_brings_back_only_changed_texts():
+    """A worker holds no second copy of a batch: texts that are in the form already return as null."""
+    import pyarrow as pa
+
+    wrapped = {}
+    udf, text_module = F.arrow_udf, text
+    try:
+        F.arrow_udf = lambda kind: lambda f: wrapped.setdefault("f", f) and (lambda c: c)
+        text_module.nfkc(F.lit("x"))
+    finally:
+        F.arrow_udf = udf
+    assert wrapped["f"](pa.array(["é", "ﬁ", None, "शेयर"])).to_pylist() == [None, "fi", None, None]
