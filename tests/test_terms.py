@@ -90,3 +90,18 @@ def test_large_vocabulary_is_not(spark, plan_of, monkeypatch):
     weights = terms.tfidf(texts(spark, "aa bb", "aa bb"))
     assert "ResolvedHint" not in weights._jdf.queryExecution().analyzed().toString()
     assert weights.count() == 6
+
+
+def test_vocabulary_by_buckets_is_that_of_all_terms(spark):
+    # words that come often in one post only fill buckets and are no terms
+    rows = [(str(i), " ".join([f"w{'abcdefghij'[j]}" for j in range(10) if i % (j + 1) == 0] + [f"only{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}"] * 60)) for i in range(100)]
+    df = spark.createDataFrame(rows, "post_id string, content_clean string")
+    for n in (1, 3, 1000):
+        settings = TermSettings(max_features=n)
+        expected = terms.most_frequent(terms.term_frequencies(df, settings), settings)
+        assert sorted(terms.fitted_vocabulary(df, settings).collect()) == sorted(expected.collect())
+
+
+def test_terms_outside_the_vocabulary_are_not_counted_by_post(spark, plan_of):
+    plan = plan_of(terms.tfidf(texts(spark, "rally of the banks", "rally again")))
+    assert "BroadcastHashJoin" in plan[plan.index("HashAggregate(keys=[post_id"):]
