@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,21 +24,39 @@ BEARISH_UP_TO = -0.2
 NEUTRAL_UP_TO = 0.2
 
 
-def _term_hits(lowered: Column, terms: tuple[str, ...]) -> Column:
-    """A term counts once however often it occurs, and also inside longer words."""
-    return reduce(add, [lowered.contains(t).cast("int") for t in terms])
+def term_hits(text: Column) -> Column:
+    """(bull, bear): how many terms of each kind the lower-cased text has.
+
+    A term counts once however often it occurs, and also inside longer words. Python's substring search is
+    several times faster than ``contains`` in the JVM, which tries every byte for every term. The function is local, see ``text.nfkc``.
+    """
+    bull, bear = BULLISH_TERMS, BEARISH_TERMS
+    kind = pa.struct([("bull", pa.int32()), ("bear", pa.int32())])
+
+    @F.arrow_udf("bull int, bear int")
+    def counted(values: pa.Array) -> pa.Array:
+        def hits(t: str | None) -> tuple[int, int] | None:
+            if t is None:
+                return None
+            t = t.lower()
+            return sum([term in t for term in bull]), sum([term in t for term in bear])
+
+        some = (t for i in range(0, len(values), 256) for t in values.slice(i, 256).to_pylist())
+        return pa.array(map(hits, some), kind)
+
+    return counted(text)
 
 
 def _emoji_hits(emojis: Column, wanted: tuple[str, ...]) -> Column:
     return F.size(F.filter(emojis, lambda e: e.isin(*wanted)))
 
 
-def bull_hits(lowered: Column, emojis: Column) -> Column:
-    return _term_hits(lowered, BULLISH_TERMS) + _emoji_hits(emojis, BULLISH_EMOJI)
+def bull_hits(terms: Column, emojis: Column) -> Column:
+    return terms["bull"] + _emoji_hits(emojis, BULLISH_EMOJI)
 
 
-def bear_hits(lowered: Column, emojis: Column) -> Column:
-    return _term_hits(lowered, BEARISH_TERMS) + _emoji_hits(emojis, BEARISH_EMOJI)
+def bear_hits(terms: Column, emojis: Column) -> Column:
+    return terms["bear"] + _emoji_hits(emojis, BEARISH_EMOJI)
 
 
 def score_from_hits(bull: Column, bear: Column) -> Column:

@@ -18,19 +18,14 @@ def clean_posts(posts: DataFrame) -> DataFrame:
     blanks. Posts without content are left out. ``username`` and ``hashtags``
     are normalised when the frame has them.
 
-    One projection per step: each step is referenced several times by the next
-    one's guard, so Catalyst keeps the steps apart and evaluates each once. The
-    length test sits inside a generator, since a plain filter on the result
-    would be pushed below all steps and repeat them, the Python one included.
+    Cleaning is one Arrow step. The length test sits inside a generator, since a plain filter on the
+    result would be pushed below that step and run it twice.
     """
-    content, clean, guard = F.col("content"), F.col("_clean"), F.col("_guard")
-    posts = posts.where(content.isNotNull()).withColumns(
-        {"_clean": text.nfkc(content), "_guard": text.may_have_emoji(content)}
-    )
-    posts = posts.withColumn("_clean", text.strip_urls(clean))
-    posts = posts.withColumn("_clean", text.strip_emoji(clean, guard))
+    content = F.col("content")
+    posts = posts.where(content.isNotNull()).withColumn("_cleaned", text.cleaned(content))
+    guard = F.col("_cleaned.near_emoji")
     long_enough = F.filter(
-        F.array(text.squeeze_space(clean)), lambda t: F.char_length(t) >= MIN_CLEAN_LENGTH
+        F.array("_cleaned.clean"), lambda t: F.char_length(t) >= MIN_CLEAN_LENGTH
     )
     posts = posts.select("*", F.explode(long_enough).alias("content_clean"))
     derived = {
@@ -43,4 +38,4 @@ def clean_posts(posts: DataFrame) -> DataFrame:
         derived["username"] = F.lower(text.trimmed(F.col("username")))
     if "hashtags" in posts.columns:
         derived["hashtags"] = text.sorted_tag_set(F.col("hashtags"))
-    return posts.withColumns(derived).drop("_clean", "_guard")
+    return posts.withColumns(derived).drop("_cleaned")

@@ -10,18 +10,18 @@ from murmuration.functions import lexicon
 
 def with_sentiment(cleaned: DataFrame) -> DataFrame:
     """Add ``sentiment_score`` and ``sentiment_label`` from ``content_clean`` and ``emojis``."""
-    lowered, emojis = F.col("_lowered"), F.col("emojis")
+    terms, emojis = F.col("_terms"), F.col("emojis")
     return (
-        cleaned.withColumn("_lowered", F.lower("content_clean"))
+        cleaned.withColumn("_terms", lexicon.term_hits(F.col("content_clean")))
         .withColumns(
             {
-                "_bull": lexicon.bull_hits(lowered, emojis),
-                "_bear": lexicon.bear_hits(lowered, emojis),
+                "_bull": lexicon.bull_hits(terms, emojis),
+                "_bear": lexicon.bear_hits(terms, emojis),
             }
         )
         .withColumn("sentiment_score", lexicon.score_from_hits(F.col("_bull"), F.col("_bear")))
         .withColumn("sentiment_label", lexicon.label_of(F.col("sentiment_score")))
-        .drop("_lowered", "_bull", "_bear")
+        .drop("_terms", "_bull", "_bear")
     )
 
 

@@ -141,3 +141,23 @@ def test_nfkc_brings_back_only_changed_texts():
     finally:
         F.arrow_udf = udf
     assert wrapped["f"](pa.array(["é", "ﬁ", None, "शेयर"])).to_pylist() == [None, "fi", None, None]
+
+
+def test_one_cleaning_pass_equals_its_steps(spark):
+    """Every sequence of odd characters comes out as from the four separate expressions; the plan has no other regular expression."""
+    import random
+
+    odd = ["a", "1", "#", " ", "  ", "\n", "\x1c", "\x85", "\xa0", " ", "　", "​", "⃣", "️", "︎", "‍", "🇮", "🇳", "🏴", "\U000e0067", "\U000e007f",
+           "❤", "🔥", "👍", "🏽", "©", "™", "ﬁ", "ｈｔｔｐ", "http", "www.", "ｗｗｗ.", "é", "é", "İ", "K", "शे", "漢"]
+    chosen = random.Random(3)
+    values = ["".join(chosen.choices(odd, k=chosen.randint(0, 12))) for _ in range(4000)] + [None, ""]
+
+    def steps(content):
+        guard = text.may_have_emoji(content)
+        return text.squeeze_space(text.strip_emoji(text.strip_urls(text.nfkc(content)), guard))
+
+    assert apply(spark, lambda c: text.cleaned(c)["clean"], values) == apply(spark, steps, values)
+    assert apply(spark, lambda c: text.cleaned(c)["near_emoji"], values) == apply(spark, text.may_have_emoji, values)
+    rows = spark.createDataFrame([(1, "x")], "i int, content string")
+    plan = clean_posts(rows).select("content_clean")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp_replace" not in plan
