@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from murmuration.config import DEFAULT
 from murmuration.functions import minhash, text
+from murmuration.operators import rows
 from murmuration.sources.scratch import Scratch
 
 # Texts of a prefix shingle that meet in one block.
@@ -70,10 +71,14 @@ def similar_pairs(
     sets = scratch.put(shingle_hashes(distinct_texts(posts, ts, post_id), ["id", "copies"], k).withColumn("n", F.size("shingles")), "sets")
     # stored, as the joins below then read nothing but tables and can be split where a shingle is frequent
     spread = sets.select("id", "n", F.explode("shingles").alias("shingle"))
-    frequent = scratch.put(spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")), "frequencies")
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("texts", "shingle"))
+    # shingles of one text only come first in its order and meet no other text: their number is enough, and only rows of
+    # shared shingles, which a bitmap picks in the scan, are joined and ordered
+    shared = scratch.put(spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "frequencies")
+    met = rows.may_be_among(spread.withColumn("_row", F.col("shingle")), shared.withColumn("_row", F.col("shingle"))).drop("_row")
+    own = Window.partitionBy("id")
+    nth = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("texts", "shingle"))
     first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
-    prefixes = spread.join(frequent, "shingle").withColumn("nth", nth).where((F.col("nth") <= first) & (F.col("texts") > 1))
+    prefixes = met.join(shared, "shingle").withColumn("nth", nth).where(F.col("nth") <= first)
     prefixes = scratch.put(prefixes.select("id", "n", "shingle", "nth"), "prefixes")
 
     blocks = prefixes.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).cast("int").alias("blocks")).where("blocks > 1")
@@ -88,6 +93,10 @@ def similar_pairs(
     met = left.join(right, ["shingle", "p", "q"]).where((F.col("left_id") < F.col("right_id")) & fits)
     candidates = scratch.put(met.select("left_id", "right_id").distinct(), "candidates")
 
+    # whole sets are read again only where a candidate names them
+    named = F.xxhash64("id")
+    ids = candidates.select(F.explode(F.array("left_id", "right_id")).alias("id")).distinct().withColumn("_row", named)
+    sets = scratch.put(rows.may_be_among(sets.withColumn("_row", named), ids).drop("_row"), "compared")
     side = lambda name: sets.select(*[F.col(c).alias(f"{name}_{c}") for c in ("id", "copies", "shingles")])
     both = F.size(F.array_intersect("left_shingles", "right_shingles"))
     compared = candidates.join(side("left"), "left_id").join(side("right"), "right_id").withColumn("both", both)

@@ -11,6 +11,7 @@ from murmuration.functions.minhash import band_layout
 from murmuration.operators import dedup, rows, similarity
 from murmuration.operators.components import connected_components
 from murmuration.plans.pipeline import score_posts
+from murmuration.sources import scratch
 from murmuration.sources.scratch import Scratch
 
 SCHEMA = "post_id string, content string, engagement_score bigint"
@@ -228,6 +229,18 @@ def test_similar_pairs_equal_brute_force(spark, monkeypatch, block):
     assert similarity.similar_pairs(frame(spark, [])).count() == 0
 
 
+def test_only_shared_shingles_and_compared_sets_are_stored(spark, tmp_path, monkeypatch):
+    """Shingles of one text get no row, and sets without a candidate are not read again; both went through shuffles before."""
+    rows = [("a", "one two three four five six seven eight", 1), ("b", "one two three four five six seven nine", 2)]
+    rows += [(f"p{i}", " ".join(f"w{i}x{j}" for j in range(30)), i) for i in range(50)]
+    monkeypatch.setattr(scratch, "shared_root", lambda _: str(tmp_path))
+    found = similarity.similar_pairs(frame(spark, rows), 0.6).collect()
+    assert [(r["left_id"], r["right_id"]) for r in found] == [("a", "b")]
+    (work,) = (tmp_path / "murmuration").iterdir()
+    assert spark.read.parquet(str(work / "frequencies")).agg({"texts": "min", "*": "count"}).first().asDict() == {"min(texts)": 2, "count(1)": 5}
+    assert 2 <= spark.read.parquet(str(work / "compared")).count() < 10
+
+
 def test_copies_of_one_text_make_no_pairs(spark):
     rows = [(f"p{i}", "the same words in every post of them" + "!" * (i % 3), i) for i in range(300)] + [("x", "the same words in every post of us", 1)]
     found = similarity.similar_pairs(frame(spark, rows), 0.5).collect()
