@@ -33,6 +33,8 @@ class StorageSettings:
     key_columns: tuple[str, ...] = ("post_id",)
     # Names the folder level of batches that may be written again; None appends without batch ids.
     batch_column: str | None = None
+    # Rows that a file of a large batch should have on average at least.
+    rows_per_file: int = 2000
 
 
 @dataclass(frozen=True)
