@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from murmuration.config import DEFAULT, SignalSettings, StorageSettings
-from murmuration.operators import cleaning, ingest, sentiment, signal
+from murmuration.operators import cleaning, ingest, rows, sentiment, signal
 from murmuration.schema import DELIVERED_POSTS
 from murmuration.sources.store import parquet_options
 
@@ -75,6 +75,14 @@ def ingest_posts(
     return _to_parquet(grouped, path, checkpoint, trigger, settings.partition_columns, parquet_options(settings))
 
 
+def placed_posts(posts: DataFrame, key_columns: list[str] | None = None) -> DataFrame:
+    """Keys and times of posts landed as Parquet; in place of the other columns, the file and row in which each lies.
+
+    What only decides on posts can shuffle these, and ``write_unique`` fetches the whole posts.
+    """
+    return rows.placed(posts, [*(key_columns or DEFAULT.storage.key_columns), "timestamp"])
+
+
 def exact_dedup_stream(
     posts: DataFrame,
     delay: str = "10 minutes",
@@ -113,9 +121,21 @@ def write_buckets(
 
 
 def write_unique(
-    posts: DataFrame, path: str, checkpoint: str, trigger: dict = AVAILABLE
+    posts: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict = AVAILABLE,
+    landing: str | None = None,
+    schema: T.StructType = DELIVERED_POSTS,
 ) -> StreamingQuery:
-    return _to_parquet(posts, path, checkpoint, trigger)
+    """Append the posts of a stream to a folder.
+
+    With ``landing``, the folder in which posts of this schema land, the stream holds their places (``placed_posts``);
+    each micro-batch then fetches its whole posts in the tasks that scan them, so that texts are never shuffled.
+    """
+    if landing is None:
+        return _to_parquet(posts, path, checkpoint, trigger)
+    return _per_batch(posts, lambda batch, number: add_landed(batch, number, path, landing, schema), checkpoint, trigger)
 
 
 def composite_of_finalised(
@@ -154,6 +174,23 @@ def _stored(spark: SparkSession, path: str, schema: str | T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def add_landed(places: DataFrame, batch_id: int, path: str, landing: str, schema: T.StructType = DELIVERED_POSTS) -> None:
+    """The landed posts at the places of one micro-batch, as ``batch=<id>``.
+
+    Only files that hold one of them are read. A landed file must stay as it is until its micro-batch is done.
+    """
+    spark = places.sparkSession
+    rows.bitmaps_of(places).write.mode("overwrite").parquet(f"{path}/_places")
+    bitmaps = spark.read.schema(rows.BITMAPS).parquet(f"{path}/_places")
+    files = bitmaps.groupBy("_file").agg(F.sum(F.bitmap_count("_bitmap")).alias("posts")).collect()
+    whole = spark.read.schema(schema).parquet(landing).where(F.col("_metadata.file_path").isin([f["_file"] for f in files]))
+    target = f"{path}/batch={batch_id}"
+    rows.at_places(whole, bitmaps).write.mode("overwrite").parquet(target)
+    wanted, found = sum(f["posts"] for f in files), spark.read.schema(schema).parquet(target).count()
+    if found != wanted:
+        raise RuntimeError(f"{wanted - found} of {wanted} posts are no longer at their place in {landing}")
+
+
 def add_states(batch: DataFrame, batch_id: int, path: str, settings: SignalSettings | None = None) -> None:
     """The bucket states of one micro-batch of posts, as ``batch=<id>``; adding the same batch again replaces them."""
     scored = sentiment.with_sentiment(cleaning.clean_posts(batch))

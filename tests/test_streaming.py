@@ -1,11 +1,14 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from murmuration.operators import ingest, signal
 from murmuration.operators.cleaning import clean_posts
 from murmuration.operators.sentiment import with_sentiment
+from murmuration.plans import queries
 from murmuration.schema import DELIVERED_POSTS, RAW_POSTS
+from murmuration.sources import given_tables
 from murmuration.streaming import jobs
 
 START = datetime(2024, 1, 1)
@@ -116,3 +119,52 @@ def test_buckets_equal_the_batch_except_the_open_tail(spark, tmp_path):
     assert {key(r) for r in spark.read.parquet(sink).collect()} == expected
     composite = jobs.composite_of_finalised(spark, sink)
     assert composite.count() == len(expected) and "composite_score" in composite.columns
+
+
+def test_dedup_by_places_appends_whole_posts_and_reads_only_their_files(spark, tmp_path):
+    batches = [delivered(spark, range(0, 30), copies=3).repartition(3), delivered(spark, range(25, 40), copies=2).repartition(2)]
+    landing = tmp_path / "land ing 100%"
+    sink, state = str(tmp_path / "sink"), str(tmp_path / "state")
+    for batch in batches:
+        old = list(landing.glob("*.parquet"))
+        batch.write.mode("append").parquet(str(landing))
+        for file in old:
+            file.write_bytes(b"not to be read again")
+        stream = jobs.exact_dedup_stream(jobs.placed_posts(jobs.landed(spark, str(landing))), "1 hour")
+        jobs.write_unique(stream, sink, state, landing=str(landing)).awaitTermination()
+    got = spark.read.schema(DELIVERED_POSTS).parquet(sink).select(*DELIVERED_POSTS.fieldNames())
+    want = delivered(spark, range(0, 40))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_batch_of_places_replays_and_misses_no_file(spark, tmp_path):
+    """Rows beyond the first bitmap of a file, a batch that is run again, one without rows, and a file that has gone."""
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    many = spark.range(0, 70_000, 1, 1).withColumn("text", F.concat(F.lit("t"), "id"))
+    many.write.parquet(landing)
+    places = jobs.rows.placed(spark.read.schema(many.schema).parquet(landing), ["id"]).where("id % 32768 in (0, 32767)")
+    for _ in range(2):
+        jobs.add_landed(places, 0, sink, landing, many.schema)
+    jobs.add_landed(places.where("id < 0"), 1, sink, landing, many.schema)
+    got = spark.read.schema(many.schema).parquet(sink)
+    assert sorted(r["text"] for r in got.collect()) == sorted(f"t{n}" for n in (0, 32767, 32768, 65535, 65536))
+    gone = places.withColumn("_file", F.concat("_file", F.lit("x")))
+    with pytest.raises(RuntimeError, match="5 of 5"):
+        jobs.add_landed(gone, 2, sink, landing, many.schema)
+
+
+def test_stream_dedup_shuffles_no_texts(spark, tmp_path, monkeypatch):
+    documents = [(n, f"text {n}", None if n == 2 else "en", "web", 6) for n in range(4)]
+    events = [(n, START + timedelta(minutes=n), n, "click", float(n), "{}") for n in range(40)]
+    spark.createDataFrame(documents, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    write, streamed = jobs.write_unique, []
+    monkeypatch.setattr(jobs, "write_unique", lambda posts, *rest, **named: streamed.append(posts.columns) or write(posts, *rest, **named))
+    got = queries.stream_dedup(spark, str(tmp_path))
+    posts = given_tables.posts(spark, str(tmp_path))
+    want = {r["post_id"]: r["content"] for r in posts.collect()}
+    assert {r["post_id"]: r["n_chars"] for r in got.collect()} == {k: len(v) for k, v in want.items()} and got.count() == len(want) == 40
+    assert len(streamed) == 2 and not any("content" in columns for columns in streamed)
+    tags = [r["primary_hashtag"] for r in given_tables.cross_posted(posts).collect()]
+    assert sorted(tags, key=str) == sorted(["click"] * 40 + ["via_en"] * 30 + [None] * 10, key=str)
