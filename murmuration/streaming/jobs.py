@@ -131,7 +131,8 @@ def write_unique(
     """Append the posts of a stream to a folder.
 
     With ``landing``, the folder in which posts of this schema land, the stream holds their places (``placed_posts``);
-    each micro-batch then fetches its whole posts in the tasks that scan them, so that texts are never shuffled.
+    each micro-batch then fetches its whole posts, as they landed, in the tasks that scan them, so that texts are never shuffled.
+    These go to a folder for each micro-batch. A folder written without ``landing`` has Spark's log of its files and does not take them.
     """
     if landing is None:
         return _to_parquet(posts, path, checkpoint, trigger)

@@ -153,12 +153,36 @@ def test_a_batch_of_places_replays_and_misses_no_file(spark, tmp_path):
         jobs.add_landed(gone, 2, sink, landing, many.schema)
 
 
-def test_stream_dedup_shuffles_no_texts(spark, tmp_path, monkeypatch):
+def small_tables(spark, path, posts=40):
     documents = [(n, f"text {n}", None if n == 2 else "en", "web", 6) for n in range(4)]
-    events = [(n, START + timedelta(minutes=n), n, "click", float(n), "{}") for n in range(40)]
-    spark.createDataFrame(documents, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    events = [(n, START + timedelta(minutes=n), n, "click", float(n), "{}") for n in range(posts)]
+    spark.createDataFrame(documents, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{path}/documents.parquet")
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame(events, schema).write.parquet(f"{path}/events.parquet")
+
+
+@pytest.mark.parametrize("query", ["stream_ingest", "stream_states"])
+def test_halves_meet_at_one_value(spark, tmp_path, monkeypatch, query):
+    """A cut that each part evaluates anew is approximate, so that posts may fall between two parts."""
+    small_tables(spark, tmp_path)
+    land, plans, landed = queries._land, [], []
+    def look(part, path):
+        plans.append(part._jdf.queryExecution().optimizedPlan().toString())
+        landed.append(part.count())
+        land(part, path)
+    monkeypatch.setattr(queries, "_land", look)
+    getattr(queries, query)(spark, str(tmp_path))
+    assert sum(landed) == 40 and all(landed) and not any("percentile_approx" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("query", ["stream_dedup", "stream_states"])
+def test_streams_without_posts(spark, tmp_path, query):
+    small_tables(spark, tmp_path, 0)
+    assert getattr(queries, query)(spark, str(tmp_path)).count() == 0
+
+
+def test_stream_dedup_shuffles_no_texts(spark, tmp_path, monkeypatch):
+    small_tables(spark, tmp_path)
     write, streamed = jobs.write_unique, []
     monkeypatch.setattr(jobs, "write_unique", lambda posts, *rest, **named: streamed.append(posts.columns) or write(posts, *rest, **named))
     got = queries.stream_dedup(spark, str(tmp_path))
