@@ -35,6 +35,8 @@ class StorageSettings:
     batch_column: str | None = None
     # Rows that a file of a large batch should have on average at least.
     rows_per_file: int = 2000
+    # Rows that a task of a large batch sorts on average at most, where files get fewer rows by that.
+    rows_per_task: int = 128_000
 
 
 @dataclass(frozen=True)

@@ -31,17 +31,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents spread over all tasks; the given file is a single split."""
+# Posts that a task makes on average at most. Each has a text of its own, and what orders posts holds the whole of them.
+POSTS_PER_TASK = 128_000
+
+
+def _documents(spark: SparkSession, sf_dir: str, tasks: int = 1) -> DataFrame:
+    """Documents spread over all tasks, ``tasks`` at least; the given file is a single split."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return table(spark, sf_dir, "documents").repartition(partitions, "doc_id")
+    return table(spark, sf_dir, "documents").repartition(max(partitions, tasks), "doc_id")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per event, with the text of document ``event_id % number of documents``."""
-    documents = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    events = table(spark, sf_dir, "events")
+    documents = _documents(spark, sf_dir, -(-events.count() // POSTS_PER_TASK)).select("doc_id", "text", "lang")
     n_documents = table(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()
-    events = table(spark, sf_dir, "events").withColumn("doc_id", F.col("event_id") % n_documents)
+    events = events.withColumn("doc_id", F.col("event_id") % n_documents)
     turn = F.col("event_id") % ENDING_CYCLE
     ending = F.lit("")
     for key, value in ENDINGS.items():
