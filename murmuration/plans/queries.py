@@ -427,7 +427,10 @@ def _land_and_run(spark: SparkSession, posts: DataFrame, scratch: Scratch, start
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "stream-ingest")
     delivered = _delivered(given.posts(spark, sf_dir))
-    sink = _land_and_run(spark, delivered, scratch, jobs.ingest_posts)
+    batches = StorageSettings(batch_column="batch")
+    sink = _land_and_run(
+        spark, delivered, scratch, lambda stream, path, state: jobs.ingest_landed(stream, path, state, scratch.at("landing"), batches)
+    )
     return (
         spark.read.schema(RAW_POSTS).parquet(sink)
         .groupBy("scrape_date", "primary_hashtag")

@@ -8,6 +8,9 @@ pass ``{"processingTime": "1 minute"}`` to keep a job running.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from murmuration.config import DEFAULT, SignalSettings, StorageSettings
 from murmuration.operators import cleaning, ingest, rows, sentiment, signal
 from murmuration.schema import DELIVERED_POSTS
-from murmuration.sources.store import parquet_options
+from murmuration.sources.store import PostStore, parquet_options
 
 AVAILABLE = {"availableNow": True}
 
@@ -68,13 +71,47 @@ def ingest_posts(
 
     Posts are grouped by folder first, so a micro-batch adds ``salts`` files to a folder at most. What
     a dominating folder gets is bounded by the micro-batch (``max_files``); more salts split it further.
+
+    With ``settings.batch_column`` each micro-batch is a batch of a ``PostStore`` instead, which replaces it if it is run again: a large one is
+    written by the tasks that scan it, so that no text is shuffled. A folder written without has Spark's log of its files and does not take them.
     """
     settings = settings or DEFAULT.storage
+    if settings.batch_column is not None:
+        store = PostStore(delivered.sparkSession, path, settings)
+        return _per_batch(delivered, lambda batch, number: store.write_batch(ingest.normalise_delivered(batch), number), checkpoint, trigger)
     salt = F.pmod(F.xxhash64("post_id"), F.lit(salts))
     grouped = ingest.normalise_delivered(delivered).repartition(*settings.partition_columns, salt)
     return _to_parquet(grouped, path, checkpoint, trigger, settings.partition_columns, parquet_options(settings))
 
 
+@contextmanager
+def _split_by(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Micro-batches that run within scan their files by so many tasks at least, as far as these can be parted."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(tasks))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def ingest_landed(delivered: DataFrame, path: str, checkpoint: str, landing: str, settings: StorageSettings | None = None) -> StreamingQuery:
+    """``ingest_posts`` of what has come to the folder ``landing`` so far, over once this returns.
+
+    Landed texts may be packed so well that a split of the usual size holds more of them than a task should sort, so the scan is split by their number.
+    """
+    settings, spark = settings or DEFAULT.storage, delivered.sparkSession
+    tasks = -(-_stored(spark, landing, delivered.schema).count() // settings.rows_per_task)
+    with _split_by(spark, max(tasks, spark.sparkContext.defaultParallelism)):
+        query = ingest_posts(delivered, path, checkpoint, settings)
+        query.awaitTermination()
+    return query
+
+
 def placed_posts(posts: DataFrame, key_columns: list[str] | None = None) -> DataFrame:
     """Keys and times of posts landed as Parquet; in place of the other columns, the file and row in which each lies.
 
@@ -161,7 +198,7 @@ def composite_of_finalised(
 _STATES = "symbol string, window_start timestamp, n bigint, total_engagement bigint, sw double, sws double, swss double, ss double, sss double"
 
 
-def _per_batch(stream: DataFrame, sink, checkpoint: str, trigger: dict) -> StreamingQuery:
+def _per_batch(stream: DataFrame, sink: Callable[[DataFrame, int], object], checkpoint: str, trigger: dict) -> StreamingQuery:
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 

@@ -3,12 +3,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from murmuration.config import StorageSettings
 from murmuration.operators import ingest, signal
 from murmuration.operators.cleaning import clean_posts
 from murmuration.operators.sentiment import with_sentiment
 from murmuration.plans import queries
 from murmuration.schema import DELIVERED_POSTS, RAW_POSTS
 from murmuration.sources import given_tables
+from murmuration.sources.store import PostStore
 from murmuration.streaming import jobs
 
 START = datetime(2024, 1, 1)
@@ -49,6 +51,32 @@ def test_ingest_adds_one_file_per_folder_and_batch(spark, tmp_path):
     assert sink and len(folders) == 2 and len(files) == 2 * len(folders)
 
 
+def test_ingest_of_batches_shuffles_no_texts_and_replaces_a_batch(spark, tmp_path):
+    """A large micro-batch is written by the tasks that scan it, which are as many as its rows ask for, and a small one is grouped."""
+    settings = StorageSettings(batch_column="batch", rows_per_file=50, rows_per_task=25)
+    batches = [delivered(spark, range(0, 1000)).repartition(40), delivered(spark, range(1000, 1010)), delivered(spark, [])]
+    landing, sink, state = (str(tmp_path / n) for n in ("landing", "sink", "state"))
+    for batch in batches:
+        batch.write.mode("append").parquet(landing)
+        jobs.ingest_landed(jobs.landed(spark, landing), sink, state, landing, settings)
+    assert len(list((tmp_path / "sink" / "batch=0").rglob("*.parquet"))) > 60
+    assert len(list((tmp_path / "sink" / "batch=1").rglob("*.parquet"))) == 2
+    first = ingest.normalise_delivered(batches[0])
+    PostStore(spark, sink, settings).write_batch(first, 0)  # run again after a failure
+    stored = PostStore(spark, sink, settings).load()
+    want = ingest.normalise_delivered(batches[0].union(batches[1])).select(*stored.columns)
+    assert stored.count() == 1010 and stored.exceptAll(want).isEmpty()
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_stream_ingest_stores_batches(spark, tmp_path, monkeypatch):
+    small_tables(spark, tmp_path)
+    start, given = jobs.ingest_posts, []
+    monkeypatch.setattr(jobs, "ingest_posts", lambda stream, path, state, settings=None: given.append(settings) or start(stream, path, state, settings))
+    assert queries.stream_ingest(spark, str(tmp_path)).agg(F.sum("posts")).first()[0] == 40
+    assert [s.batch_column for s in given] == ["batch", "batch"]
+
+
 def test_composite_of_an_empty_sink(spark, tmp_path):
     (tmp_path / "sink").mkdir()
     assert jobs.composite_of_finalised(spark, str(tmp_path / "sink")).count() == 0
